@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import bpe, packing, secrets, simhash, substring, toxicity
+from gridloom.llm import bpe, chat, forest, licenses, packing, secrets, simhash, substring, syncmers, toxicity
 from gridloom.llm.common import checkpoint, table
 
 
@@ -67,6 +67,36 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    first, last = F.get("places", F.lit(0)), F.when(F.size("places") > 0, F.element_at("places", -1))
+    return out.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"), first.alias("first_word"), last.alias("last_word"), "base_labels", "labels", "score")
+
+
+def _op4_sql() -> str:
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    places = []
+    for phrase in licenses.PHRASES:
+        parts = phrase.split()
+        test = " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(parts))
+        places.append(f"list_filter(range(1, len(w) - {len(parts) - 2}), lambda i: {test})")
+    base = ", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{label}' END" for k, label in enumerate(licenses.PHRASES.values()))
+    values = ", ".join(f"('{label}', {sorted(x.decode() for x in set(licenses.words(text.encode())))})" for label, text in licenses.TEMPLATES.items())
+    every = " || ".join(f"p{k}" for k in range(len(places)))
+    return f"""WITH t(label, words) AS (VALUES {values}),
+d AS (SELECT doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') AS x FROM documents),
+b AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '{word}')) AS w FROM (SELECT doc_id, unnest(string_split(x, chr(10))) AS line FROM d)),
+m AS (SELECT doc_id, label, len(list_intersect(w, words)) / len(words) AS share FROM b, t WHERE len(list_intersect(w, words)) / len(words) >= {licenses.THRESHOLD}),
+n AS (SELECT doc_id, max(share) AS share, list(DISTINCT label) AS found FROM m GROUP BY doc_id),
+p AS (SELECT doc_id, len(w) AS n_words, {", ".join(f"{x} AS p{k}" for k, x in enumerate(places))} FROM (SELECT doc_id, regexp_extract_all(x, '{word}') AS w FROM d)),
+q AS (SELECT doc_id, n_words, {every} AS places, list_filter([{base}], lambda v: v IS NOT NULL) AS base FROM p)
+SELECT doc_id, n_words, len(places) AS n_base, list_min(places) - 1 AS first_word, list_max(places) - 1 AS last_word,
+  array_to_string(list_sort(list_distinct(base)), ',') AS base_labels, array_to_string(list_sort(list_distinct(base || coalesce(found, []))), ',') AS labels,
+  CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM q LEFT JOIN n USING (doc_id)"""
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -74,6 +104,24 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op6_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.with_next(table(spark, sf_dir, "documents"))
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    said = "\\### Assistant: </turn> ok"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    out = chat.format_chat(turns.unionByName(own), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.where("last").select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+def op8_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = substring.deduplicate(docs)
@@ -91,8 +139,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_bpe, op3_toxicity, op5_packing, op9_substring, op10_simhash, pipeline)}
-ORACLES = {"op1_secrets": _op1_sql}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_bpe, op3_toxicity, op4_licenses, op5_packing, op6_syncmers, op7_chat, op8_forest, op9_substring, op10_simhash, pipeline)}
+ORACLES = {"op1_secrets": _op1_sql, "op4_licenses": _op4_sql}
 
 
 def oracle_sql() -> dict[str, str]:
