@@ -32,8 +32,13 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once for a row and not for each element of an inner transform."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def scale(a: Column, by: Column) -> Column:
-    return F.transform(a, lambda v: v * by)
+    return let(by, lambda k: F.transform(a, lambda v: v * k))
 
 
 def elementwise(a: Column, b: Column, op: Callable[[Column, Column], Column]) -> Column:
@@ -81,11 +86,16 @@ def position_embedding(xs: list[Column], channels: int, factor: float | None = N
     for x in xs:
         x = x.cast("double") * factor if factor is not None else x.cast("double")
         freqs = F.array(*[F.lit(1.0 / base ** (k / n)) for k in range(n)])
-        parts += [F.transform(freqs, lambda f, x=x: F.sin(x * f)), F.transform(freqs, lambda f, x=x: F.cos(x * f))]
+        angles = _times(freqs, x)
+        parts += [F.transform(angles, F.sin), F.transform(angles, F.cos)]
     pad = channels - 2 * n * len(xs)
     return F.concat(*parts, *([F.array_repeat(F.lit(0.0), pad)] if pad else []))
 
 
+def _times(values: Column, by: Column) -> Column:
+    return F.transform(values, lambda v: v * by)
+
+
 def timestep_embedding(t: Column, dim: int, max_period: float = 10000.0) -> Column:
     """Cosines, then sines at dim // 2 frequencies; a zero last if dim is odd."""
     half = dim // 2

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.functions.arrays import floor_div, floor_mod, pack
+from gridloom.functions.arrays import floor_div, floor_mod, let, pack
 
 XYZ = ["x", "y", "z"]
 
@@ -143,9 +143,9 @@ def layer_norm(feature: Column, eps: float = 1e-5) -> Column:
     """Of one voxel's channels."""
     n = F.size(feature)
     mean = F.aggregate(feature, F.lit(0.0), lambda s, v: s + v.cast("double")) / n
-    centred = F.transform(feature, lambda v: v.cast("double") - mean)
-    spread = F.aggregate(centred, F.lit(0.0), lambda s, v: s + v * v) / n
-    return F.transform(centred, lambda v: v / F.sqrt(spread + eps))
+    centred = let(mean, lambda m: F.transform(feature, lambda v: v.cast("double") - m))
+    spread = lambda c: F.aggregate(c, F.lit(0.0), lambda s, v: s + v * v) / n
+    return let(centred, lambda c: let(F.sqrt(spread(c) + eps), lambda d: F.transform(c, lambda v: v / d)))
 
 
 def linear(voxels: DataFrame, feature: str, weights: list[list[float]], bias: list[float]) -> DataFrame:
@@ -228,7 +228,7 @@ def encode_sdf(voxels: DataFrame, distance: str, sign: str, resolution: int) ->
 
 def pack_signs(voxels: DataFrame, sign: str) -> DataFrame:
     """(b, byte, bits): eight signs a byte, most significant first, in order of ``ordinal``."""
-    x = voxels.select("b", F.floor(F.col("ordinal") / 8).alias("byte"), F.when(F.col(sign) > 0, F.shiftright(F.lit(128), F.pmod(F.col("ordinal"), F.lit(8)).cast("int"))).otherwise(0).alias("v"))
+    x = voxels.select("b", F.floor(F.col("ordinal") / 8).alias("byte"), F.when(F.col(sign) > 0, F.get(F.lit([128 >> k for k in range(8)]), F.pmod(F.col("ordinal"), F.lit(8)).cast("int"))).otherwise(0).alias("v"))
     return x.groupBy("b", "byte").agg(F.sum("v").alias("bits"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.functions.arrays import floor_div, z_order
+from gridloom.functions.arrays import floor_div, let, z_order
 from gridloom.operators.voxels import XYZ
 
 
@@ -36,30 +36,31 @@ def serial_code(mode: str = "z_order", shift: int = 0, bits: int = 10) -> Column
 def hilbert(x: Column, y: Column, z: Column, bits: int) -> Column:
     """Distance along a three-dimensional Hilbert curve, as bit arithmetic in the plan.
 
-    Axes are transposed into the curve's bits from the highest down; a lambda carries (x, y, z) through the levels.
+    A state (x, y, z) is folded over bits from the highest down and, for each, over the axes; so no step's expression is
+    repeated within another's.
     """
-    one = F.lit(1).cast("long")
-    start = F.struct(*[v.cast("long").alias(n) for v, n in zip((x, y, z), "xyz", strict=True)])
-
-    def level(s: Column, k: Column) -> Column:
-        q = F.shiftleft(one, 0) * F.pow(F.lit(2), k).cast("long")
-        p = q - 1
-        cur = [s["x"], s["y"], s["z"]]
-        for i in range(3):
-            on = cur[i].bitwiseAND(q) != 0
-            t = cur[0].bitwiseXOR(cur[i]).bitwiseAND(p)
-            first = F.when(on, cur[0].bitwiseXOR(p)).otherwise(cur[0].bitwiseXOR(t))
-            own = F.when(on, first if i == 0 else cur[i]).otherwise((cur[0].bitwiseXOR(t)) if i == 0 else cur[i].bitwiseXOR(t))
-            cur = [own if i == 0 else first, *[own if j == i else cur[j] for j in (1, 2)]]
-        return F.struct(*[v.alias(n) for v, n in zip(cur, "xyz", strict=True)])
-
-    s = F.aggregate(F.sequence(F.lit(bits - 1), F.lit(1), F.lit(-1)), start, level)
-    gx = s["x"]
-    gy = s["y"].bitwiseXOR(gx)
-    gz = s["z"].bitwiseXOR(gy)
-    turn = F.aggregate(F.sequence(F.lit(bits - 1), F.lit(1), F.lit(-1)), F.lit(0).cast("long"), lambda t, k: F.when(gz.bitwiseAND(F.pow(F.lit(2), k).cast("long")) != 0, t.bitwiseXOR(F.pow(F.lit(2), k).cast("long") - 1)).otherwise(t))
-    hx, hy, hz = (v.bitwiseXOR(turn) for v in (gx, gy, gz))
-    return z_order(hz, hy, hx, bits)
+    long = lambda v: F.lit(v).cast("long")
+    state = lambda *v: F.struct(*[c.alias(n) for c, n in zip(v, "xyz", strict=True)])
+    steps = F.lit([(1 << k) * 4 + axis for k in range(bits - 1, 0, -1) for axis in range(3)])
+
+    def step(s: Column, t: Column) -> Column:
+        q, axis = F.shiftright(t, 2).cast("long"), t.bitwiseAND(F.lit(3))
+        own = F.when(axis == 0, s["x"]).when(axis == 1, s["y"]).otherwise(s["z"])
+        on = own.bitwiseAND(q) != 0
+        differ = s["x"].bitwiseXOR(own).bitwiseAND(q - 1)
+        swap = F.when(on, long(0)).otherwise(differ)
+        first = s["x"].bitwiseXOR(F.when(on, q - 1).otherwise(differ))
+        return state(first, F.when(axis == 1, s["y"].bitwiseXOR(swap)).otherwise(s["y"]), F.when(axis == 2, s["z"].bitwiseXOR(swap)).otherwise(s["z"]))
+
+    turned = F.aggregate(steps, state(*[v.cast("long") for v in (x, y, z)]), step)
+    gray = let(turned, lambda s: state(s["x"], s["y"].bitwiseXOR(s["x"]), s["z"].bitwiseXOR(s["y"]).bitwiseXOR(s["x"])))
+    masks = F.lit([1 << k for k in range(bits - 1, 0, -1)])
+
+    def undo(g: Column) -> Column:
+        t = F.aggregate(masks, long(0), lambda acc, q: F.when(g["z"].bitwiseAND(q.cast("long")) != 0, acc.bitwiseXOR(q.cast("long") - 1)).otherwise(acc))
+        return let(t, lambda m: state(g["x"].bitwiseXOR(m), g["y"].bitwiseXOR(m), g["z"].bitwiseXOR(m)))
+
+    return let(let(gray, undo), lambda h: z_order(h["z"], h["y"], h["x"], bits))
 
 
 def serial_windows(voxels: DataFrame, code: Column, window: int, shift: int = 0, tie: str = "row_id") -> DataFrame:

@@ -33,7 +33,7 @@ class Tables:
 
 
 #: Lineitem as voxels: places repeat, rows do not.
-VOXELS = """vox AS (SELECT l_orderkey * 10 + l_linenumber AS row_id, l_suppkey % 4 AS b, l_partkey % 64 AS x, l_suppkey % 64 AS y, l_orderkey % 64 AS z,
+VOXELS = """vox AS (SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS row_id, l_suppkey % 4 AS b, l_partkey % 64 AS x, l_suppkey % 64 AS y, l_orderkey % 64 AS z,
   l_quantity AS f0, l_extendedprice AS f1, l_discount AS f2 FROM lineitem)"""
 #: One voxel for each place.
 PLACES = VOXELS + """, vol AS (SELECT b, x, y, z, min(row_id) AS row_id, count(*)::DOUBLE AS value FROM vox GROUP BY b, x, y, z)"""
@@ -41,14 +41,14 @@ PLACES = VOXELS + """, vol AS (SELECT b, x, y, z, min(row_id) AS row_id, count(*
 FRAMES = """frames AS (SELECT user_id AS object, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS frame, CASE WHEN event_id % 17 = 0 THEN NULL ELSE value / 1000 END AS rms,
   event_type AS sig, event_id FROM events)"""
 #: Lineitem as triangles of a few meshes.
-MESHES = """faces AS (SELECT l_suppkey % 5 AS mesh, l_orderkey * 10 + l_linenumber AS fid, l_orderkey % 97 AS a, l_partkey % 97 AS b, l_suppkey % 97 AS c FROM lineitem WHERE l_linenumber <= 3),
+MESHES = """faces AS (SELECT l_suppkey % 5 AS mesh, ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS fid, l_orderkey % 97 AS a, l_partkey % 97 AS b, l_suppkey % 97 AS c FROM lineitem WHERE l_linenumber <= 3),
 verts AS (SELECT m AS mesh, v AS vid, ((v * 37 + m * 11) % 101)::DOUBLE AS x, ((v * 53 + m) % 89)::DOUBLE AS y, ((v * 71) % 83)::DOUBLE AS z FROM range(5) a(m), range(97) b(v))"""
 
 
 def voxels(t: Tables) -> DataFrame:
     col = F.col
     return t.lineitem.select(
-        (col("l_orderkey") * 10 + col("l_linenumber")).alias("row_id"), (col("l_suppkey") % 4).alias("b"), (col("l_partkey") % 64).alias("x"), (col("l_suppkey") % 64).alias("y"),
+        (((col("l_orderkey") * 10 + col("l_linenumber")) * 100000 + col("l_partkey")) * 10000 + col("l_suppkey")).alias("row_id"), (col("l_suppkey") % 4).alias("b"), (col("l_partkey") % 64).alias("x"), (col("l_suppkey") % 64).alias("y"),
         (col("l_orderkey") % 64).alias("z"), col("l_quantity").alias("f0"), col("l_extendedprice").alias("f1"), col("l_discount").alias("f2"),
     )
 
@@ -67,7 +67,7 @@ def frames(t: Tables) -> DataFrame:
 def faces(t: Tables) -> DataFrame:
     col = F.col
     return t.lineitem.where("l_linenumber <= 3").select(
-        (col("l_suppkey") % 5).alias("mesh"), (col("l_orderkey") * 10 + col("l_linenumber")).alias("fid"), (col("l_orderkey") % 97).alias("a"), (col("l_partkey") % 97).alias("b"), (col("l_suppkey") % 97).alias("c")
+        (col("l_suppkey") % 5).alias("mesh"), (((col("l_orderkey") * 10 + col("l_linenumber")) * 100000 + col("l_partkey")) * 10000 + col("l_suppkey")).alias("fid"), (col("l_orderkey") % 97).alias("a"), (col("l_partkey") % 97).alias("b"), (col("l_suppkey") % 97).alias("c")
     )
 
 
