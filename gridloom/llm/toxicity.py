@@ -37,8 +37,8 @@ THREATS = "kill hurt destroy burn beat punch stab shoot attack töten schlagen u
 
 REACH = 4
 STEMS = (4, 5, 6)
-#: Labelled rows that are fitted to: those of least hash, so many at most.
-SAMPLE = 40_000
+#: Labels that are fitted to, at most, and the hash buckets by which they are taken.
+SAMPLE, BUCKETS = 20_000, 4096
 FORMS = [f"{kind}{'+target' if t else ''}{'+negated' if n else ''}{'+reported' if r else ''}" for kind in ("insult", "threat") for t in (0, 1) for n in (0, 1) for r in (0, 1)]
 _WORD = regex.compile(r"[\p{L}\p{M}']+")
 _CLAUSE = regex.compile(r"[.!?;:\n]+|,\s+(?=but|aber|mais|pero)")
@@ -183,16 +183,9 @@ def lexicon(rows: DataFrame, least: int = 4, most: int = 4000) -> tuple[frozense
     return frozenset(list(words)[:most]), frozenset(list(stems)[:most])
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model of rows (doc_id, text, toxic 0 or 1), of the ``sample`` rows of least hash of doc_id.
-
-    Without rows, or without toxic ones, nothing is an insult and all scores are low.
-    """
-    rows = labelled.where("toxic is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    n = rows.count()
-    if n > sample:  # of the hashes, the share that gives the sample, and exactly so many by the sort
-        rows = rows.withColumn("h", F.xxhash64("doc_id")).where(F.col("h") < F.lit(int(-(2**63) + 1.1 * sample / n * 2**64) if 1.1 * sample < n else 2**63 - 1))
-        rows = rows.orderBy("h", "doc_id").limit(sample).drop("h")
+def fit(labelled: DataFrame) -> Model:
+    """A model of rows (text, toxic 0 or 1). Without rows, or without toxic ones, nothing is an insult and all scores are low."""
+    rows = labelled.where("toxic is not null").select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
     words, stems = lexicon(rows)
     got = _map_forms(rows.select("toxic", "text"), words, stems, "text").groupBy("toxic", "forms").count().collect()
     weights, bias = np.zeros(len(FORMS)), -3.0
@@ -238,11 +231,23 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of the labelled documents outside the held-out fold, one row for each doc_id."""
+def labelled_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(text, toxic) of labelled documents outside the held-out fold, of ``sample`` labels at most.
+
+    Labels are taken in order of a hash of doc_id, by whole buckets of it, so the sample needs no sort. The ids taken are
+    bounded by ``sample``, and are sent to the documents instead of the texts to them.
+    """
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.where(~held_out("doc_id"))
-    return docs.select("doc_id", "text").join(known, "doc_id")
+    known = known.where(~held_out("doc_id")).withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)))
+    sizes = {r["bucket"]: r["count"] for r in known.groupBy("bucket").count().collect()}  # BUCKETS rows at most
+    taken, last = 0, -1
+    for k in range(BUCKETS):
+        taken += sizes.get(k, 0)
+        if taken > sample:
+            break
+        last = k
+    known = known.where(F.col("bucket") <= last).select(F.col("doc_id").alias("__id"), "toxic")
+    return docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("__id")).select("text", "toxic")
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
