@@ -58,7 +58,7 @@ def voxel_unbind(spark: SparkSession, sf: str) -> DataFrame:
     return V.unbind(voxels(Tables(spark, sf)), 4)[2].select("row_id", "x", "y", "z", "f0")
 
 
-@query(f"WITH {VOXELS} SELECT row_id, round(f0 + f1 * 0.5 - f2 / 2, 4) AS s, CASE WHEN f2 = 0 THEN 'inf' ELSE round(f0 / f2, 4)::VARCHAR END AS q, round(-f0, 4) AS neg FROM vox")
+@query(f"WITH {VOXELS} SELECT row_id, round(a.f0 + o.f1 * 0.5 - o.f2 / 2, 4) AS s, CASE WHEN v.f2 = 0 THEN 'inf' ELSE round(v.f0 / v.f2, 4)::VARCHAR END AS q, round(-v.f0, 4) AS neg FROM vox a JOIN vox o USING (row_id) JOIN vox v USING (row_id)")
 def voxel_arithmetic(spark: SparkSession, sf: str) -> DataFrame:
     v = voxels(Tables(spark, sf))
     other = v.select("row_id", "b", "x", "y", "z", (F.col("f1") * 0.5 - F.col("f2") / 2).alias("f0"))
@@ -263,7 +263,8 @@ _SERIAL = f"""WITH {VOXELS}, r AS (SELECT b, row_id, row_number() OVER (PARTITIO
 w AS (SELECT DISTINCT b, n, ceil(n / 100)::BIGINT AS k FROM r), s AS (SELECT b, n, k, unnest(range(k)) AS win FROM w),
 p AS (SELECT *, floor((win + 0.5) * (n / k) + 10 - 50)::BIGINT AS begin_, floor(win * (n / k) + 10)::BIGINT AS a, floor((win + 1) * (n / k) + 10)::BIGINT AS z FROM s WHERE k > 1),
 q AS (SELECT *, begin_ + unnest(range(100)) AS place FROM p)
-SELECT q.b, win AS "window", place - begin_ AS slot, r.rank, r.row_id, place >= a AND place < z AS owned FROM q JOIN r ON r.b = q.b AND r.rank = ((place % q.n) + q.n) % q.n"""
+SELECT q.b, win AS "window", place - begin_ AS slot, r.rank, r.row_id, place >= a AND place < z AS owned FROM q JOIN r ON r.b = q.b AND r.rank = ((place % q.n) + q.n) % q.n
+UNION ALL SELECT b, 0, rank, rank, row_id, true FROM r WHERE n <= 100"""
 
 
 @query(_SERIAL)

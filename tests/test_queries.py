@@ -1,5 +1,7 @@
 """Every query that SQL can say gives the SQL's rows on the smallest tables."""
 
+import numbers
+
 import duckdb
 import pandas as pd
 import pytest
@@ -12,7 +14,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def rows(df):
     df = df[sorted(df.columns)]
-    cell = lambda v: "null" if v is None or (not hasattr(v, "__len__") and pd.isna(v)) else f"{v + 0.0:.5f}" if isinstance(v, float) else str(v)
+    cell = lambda v: "null" if v is None or (not hasattr(v, "__len__") and pd.isna(v)) else f"{v + 0.0:.5f}" if isinstance(v, numbers.Number) and not isinstance(v, bool) else str(v)
     return sorted(tuple(cell(v) for v in r) for r in df.itertuples(index=False))
 
 
