@@ -85,6 +85,7 @@ def grow(sample: np.ndarray, n: int, least: float, trees: int = TREES, leaf: int
 
 def _unit(column: pa.Array, d: int) -> np.ndarray:
     x = np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, d)
+    x = x / np.abs(x).max(axis=1, initial=0)[:, None]  # squares of very large or small components leave the range
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
@@ -171,7 +172,7 @@ def _tile(held: list[pa.RecordBatch], key: tuple, d: int, least: float) -> Itera
 def _linked(classes: DataFrame, d: int, least: float, trees: int, leaf: int, cap: int, sample: int) -> DataFrame:
     """(a, b, links) of classes (class, size, embedding) of one dimension: numbers of links (b null) and a forest."""
     n = classes.count()
-    some = classes.select("embedding", F.xxhash64("class").alias("h")).orderBy("h").limit(sample).select("embedding").toArrow()
+    some = classes.select("embedding", F.xxhash64("embedding").alias("h")).orderBy("h").limit(sample).select("embedding").toArrow()
     grown = grow(_unit(some.column(0).combine_chunks(), d), n, least, trees, leaf)
     routed = classes.mapInArrow(functools.partial(_route, grown, d), with_fields(classes.schema, {"leaves": "array<int>"}))
     sent = checkpoint(routed).withColumn("leaf", F.explode("leaves"))
@@ -197,7 +198,8 @@ def near_duplicates(
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do vectors of
     different lengths. Rows of null id have no links, a null component and are not kept. Repeated rows are vectors of
-    their own: each counts as a link of the others, and all have the same component.
+    their own: each counts as a link of the others, and all have the same component. Rows that share a vec_id but not
+    the vector are nodes of their own too, each with its own links and component; the shared id links nothing.
     """
     spark = vectors.sparkSession
     small_batches(spark, 4000)
@@ -206,11 +208,8 @@ def near_duplicates(
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("embedding")).withColumn("fine", F.coalesce(fine, F.lit(False)))
     key = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(1), "embedding", F.hash("embedding")).alias("h2")]
     good = rows.where("fine").select("vec_id", "embedding", F.size("embedding").alias("d"), *key)
-    classes = checkpoint(good.groupBy("h1", "h2", "d").agg(F.min("vec_id").alias("class"), F.count("*").alias("size"), F.first("embedding").alias("embedding")))
-    # a vec_id that stands for several vectors stands for one class only
-    names = classes.groupBy("class").count().where("count > 1")
-    if not names.isEmpty():
-        raise ValueError("one vec_id has several vectors")
+    classes = good.groupBy("h1", "h2", "d").agg(F.min("vec_id").alias("least"), F.count("*").alias("size"), F.first("embedding").alias("embedding"))
+    classes = checkpoint(classes.withColumn("class", F.monotonically_increasing_id()))
     found = None
     for r in sorted(x["d"] for x in classes.select("d").distinct().collect()):
         part = _linked(classes.where(F.col("d") == r).select("class", "size", "embedding"), r, least, trees, leaf, cap, sample)
@@ -220,8 +219,11 @@ def near_duplicates(
     found = checkpoint(found)
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "class")
     joined = components(found.where("b is not null"))
-    about = classes.select("h1", "h2", "class", "size").join(links, "class", "left").join(joined.withColumnRenamed("node", "class"), "class", "left")
-    about = about.select("h1", "h2", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n"), F.coalesce("component", "class").alias("c"))
+    about = classes.select("h1", "h2", "class", "least", "size").join(links, "class", "left").join(joined.withColumnRenamed("node", "class"), "class", "left")
+    about = about.select("h1", "h2", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n"), "least", "component")
+    # only components of several classes need a look for their smallest id
+    smallest = about.where("component is not null").groupBy("component").agg(F.min("least").alias("smallest"))
+    about = about.join(smallest, "component", "left").select("h1", "h2", "n", F.coalesce("smallest", "least").alias("c"))
     marked = rows.select("vec_id", *[F.when(F.col("fine"), k).alias(f"k{i}") for i, k in enumerate(key)])
     out = marked.join(about, (F.col("k0") == F.col("h1")) & (F.col("k1") == F.col("h2")), "left")
     out = out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
