@@ -234,19 +234,28 @@ def held_out(doc_id: str = "doc_id"):
 def labelled_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(text, toxic) of labelled documents outside the held-out fold, of ``sample`` labels at most.
 
-    Labels are taken in order of a hash of doc_id, by whole buckets of it, so the sample needs no sort. The ids taken are
-    bounded by ``sample``, and are sent to the documents instead of the texts to them.
+    Labels are taken in order of a hash of doc_id, by whole buckets of it, so the sample needs no sort; where the first
+    buckets hold too many, they are divided again, so at least half of ``sample`` is taken however many labels there
+    are. The ids taken are sent to the documents instead of the texts to them.
     """
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.where(~held_out("doc_id")).withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)))
-    sizes = {r["bucket"]: r["count"] for r in known.groupBy("bucket").count().collect()}  # BUCKETS rows at most
-    taken, last = 0, -1
-    for k in range(BUCKETS):
-        taken += sizes.get(k, 0)
-        if taken > sample:
+    known = known.where(~held_out("doc_id")).withColumn("place", F.shiftrightunsigned(F.xxhash64("doc_id"), 16))
+    taken, end, width = 0, 0, 1 << 48
+    while taken < sample and width > 1:  # a step for each factor of BUCKETS by which the labels are too many
+        width //= BUCKETS
+        bucket = ((F.col("place") - end) / width).cast("long").alias("bucket")
+        inside = known.where((F.col("place") >= end) & (F.col("place") < end + width * BUCKETS))
+        sizes = {r["bucket"]: r["count"] for r in inside.groupBy(bucket).count().collect()}  # BUCKETS rows at most
+        for k in range(BUCKETS):
+            if taken + sizes.get(k, 0) > sample:
+                break
+            taken += sizes.get(k, 0)
+            end += width
+        else:
+            break  # all labels fit
+        if 2 * taken >= sample:
             break
-        last = k
-    known = known.where(F.col("bucket") <= last).select(F.col("doc_id").alias("__id"), "toxic")
+    known = known.where(F.col("place") < end).select(F.col("doc_id").alias("__id"), "toxic")
     return docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("__id")).select("text", "toxic")
 
 

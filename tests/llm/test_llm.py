@@ -136,6 +136,16 @@ def test_toxicity_held_out(spark, odd):
     assert toxicity.score(odd, empty).where("score >= 0.3").count() == 0
 
 
+def test_label_sample_is_bounded(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'a b' AS text")
+    labels = spark.range(3000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS toxic")
+    learned = docs.where(~toxicity.held_out()).count()
+    for buckets in (4, 4096):
+        monkeypatch.setattr(toxicity, "BUCKETS", buckets)
+        assert 25 <= toxicity.labelled_rows(docs, labels, 50).count() <= 50
+        assert toxicity.labelled_rows(docs, labels).count() == learned
+
+
 def test_grammar_forms():
     g = toxicity.Grammar(frozenset({"idiot"}), frozenset())
     name = lambda t: [toxicity.FORMS[k] for k in np.flatnonzero(g.forms(t))]
@@ -292,6 +302,12 @@ def test_forest(spark):
     assert len(got) == len(rows) + len(bad) and forest.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_forest_repeated_ids_and_extreme_components(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 3.0]), (3, [1e200, 0.0]), (4, [-1e-200, 0.0]), (4, [-1.0, 0.0]), (5, [0.0, -1.0])]
+    got = sorted(tuple(r) for r in forest.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 1, 4, True), (4, 1, 4, True), (5, 0, 5, True)]
+
+
 # ---- 9
 
 
