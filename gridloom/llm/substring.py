@@ -2,7 +2,7 @@
 
 A unit is a paragraph of whole sentences: from a sentence on, or up to one, as few as hold ``least_words`` words.
 Sentences end at line ends and after . ! ? and the like before white space; one of more than ``longest`` words is cut
-after words whose CRC says so, which does not depend on what stands around them. So a passage is found wherever it
+after words whose CRC says so and after a word that repeats, which does not depend on what stands around them. So a passage is found wherever it
 stands, inside a line too, and whole lines of enough words are units as well. Units are compared by a 128-bit
 digest of their words, A-Z lowered and white space made one space.
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import small_batches, with_fields
 
-LEAST_WORDS, LONGEST = 25, 40
+LEAST_WORDS, LONGEST = 25, 24
 _ENDS = re.compile(rb"\n+|(?:[.!?;]|\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f|\xe2\x80\xa6)[\"')\]]*(?=[ \t\r\n])")
 
 
@@ -47,15 +47,16 @@ def sentences(body: bytes, longest: int = LONGEST) -> list[tuple[int, int, list[
 
 
 def _cut(body: bytes, a: int, b: int) -> Iterator[tuple[int, int, list[bytes]]]:
-    start, words = a, []
+    start, words, last = a, [], None
     for m in re.finditer(rb"\S+", body[a:b]):
+        word = m[0].lower()
+        if words and word != last and (zlib.crc32(last) % 8 == 0 or words[-2:-1] == [last]):
+            yield start, end, words
+            words = []
         if not words:
             start = a + m.start()
-        word = m[0].lower()
         words.append(word)
-        if zlib.crc32(word) % 16 == 0:
-            yield start, a + m.end(), words
-            words = []
+        end, last = a + m.end(), word
     if words:
         yield start, b, words
 
