@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import small_batches, with_fields
 
-LEAST_WORDS, LONGEST = 25, 24
+LEAST_WORDS, LONGEST = 20, 24
 _ENDS = re.compile(rb"\n+|(?:[.!?;]|\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f|\xe2\x80\xa6)[\"')\]]*(?=[ \t\r\n])")
 
 
