@@ -1,10 +1,10 @@
-"""Removal of text that occurs before: hashed paragraphs, the earliest occurrence stays.
+"""Removal of text that occurs before: hashed lines and paragraphs, the earliest occurrence stays.
 
-A unit is a paragraph of whole sentences: from a sentence on, or up to one, as few as hold ``least_words`` words.
-Sentences end at line ends and after . ! ? and the like before white space; one of more than ``longest`` words is cut
-after words whose CRC says so and after a word that repeats, which does not depend on what stands around them. So a passage is found wherever it
-stands, inside a line too, and whole lines of enough words are units as well. Units are compared by a 128-bit
-digest of their words, A-Z lowered and white space made one space.
+A unit is a whole line that has a word, however short, or a paragraph of whole sentences: from a sentence on, or up to
+one, as few as hold ``least_words`` words. Sentences end at line ends and after . ! ? and the like before white space;
+one of more than ``longest`` words is cut after words whose CRC says so and after a word that repeats, which does not
+depend on what stands around them. So a passage is found wherever it stands, inside a line too. Units are compared by
+a 128-bit digest of their words, A-Z lowered and white space made one space.
 
 A task drops, before anything is shuffled, the units that it has itself seen earlier in rank: a digest that a
 third of all rows hold reaches the shuffle once a task. Rank is (doc_id, place), so the earliest occurrence
@@ -61,8 +61,17 @@ def _cut(body: bytes, a: int, b: int) -> Iterator[tuple[int, int, list[bytes]]]:
         yield start, b, words
 
 
+def lines(body: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, words with one space between) of every line that has a word, without white space at the edges."""
+    at = 0
+    for line in body.split(b"\n"):
+        if words := line.lower().split():
+            yield at + len(line) - len(line.lstrip()), at + len(line.rstrip()), b" ".join(words)
+        at += len(line) + 1
+
+
 def units(body: bytes, least_words: int = LEAST_WORDS) -> list[tuple[int, int, bytes]]:
-    """(start, end, digest) of the paragraphs of a text, in bytes."""
+    """(start, end, digest) of the lines and paragraphs of a text, in bytes, each once."""
     sents = sentences(body)
     if not sents:
         return []
@@ -73,7 +82,9 @@ def units(body: bytes, least_words: int = LEAST_WORDS) -> list[tuple[int, int, b
     since = np.searchsorted(total, total[1:] - least_words, side="right") - 1  # of each last sentence, the first
     runs = {(i, int(j)) for i, j in enumerate(to.tolist()) if j <= n} | {(int(i), j + 1) for j, i in enumerate(since.tolist()) if i >= 0}
     digest = xxhash.xxh3_128_digest
-    return [(sents[i][0], sents[j - 1][1], digest(b" ".join(texts[i:j]))) for i, j in sorted(runs)]
+    found = {(a, b): digest(words) for a, b, words in lines(body)}
+    found |= {(sents[i][0], sents[j - 1][1]): digest(b" ".join(texts[i:j])) for i, j in runs}
+    return [(a, b, h) for (a, b), h in sorted(found.items())]
 
 
 def _candidates(least_words: int, memo: int):

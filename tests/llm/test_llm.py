@@ -337,6 +337,21 @@ def test_substring(spark, odd):
     assert substring.deduplicate(odd.limit(0)).count() == 0
 
 
+def test_substring_takes_repeated_lines_of_any_length(spark):
+    rng = random.Random(6)
+    own = [prose(rng, 30) for _ in range(8)]
+    docs = {
+        1: f"{own[0]}\nAll rights reserved.\n{own[1]}\nles.\n",
+        2: f"{own[2]}\n  ALL  rights reserved.\n{own[3]}\nles.\nles. Other words\n{own[4]}",
+        3: f"les.\r\n\n{own[5]}\nAll rights reserved\n{own[6]}",
+        4: f"{own[7]} All rights reserved.",
+    }
+    got = {r["doc_id"]: r["text"] for r in substring.deduplicate(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    assert got[1] == docs[1] and got[4] == docs[4]  # the earliest stays, and a part of a line is no line
+    assert [x.strip() for x in got[2].split("\n") if x.strip()] == [own[2], own[3], "les. Other words", own[4]]
+    assert got[3] == f"{own[5]}\nAll rights reserved\n{own[6]}"
+
+
 def test_substring_units_brute_force(spark, texts):
     """A unit is removed if and only if a lower (doc_id, place) has it."""
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
