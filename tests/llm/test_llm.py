@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import struct
+import textwrap
 
 import duckdb
 import numpy as np
@@ -177,6 +178,52 @@ def test_license_join_is_exact(spark, texts, odd):
     assert licenses.scan(odd).count() == 10 and licenses.scan(odd.limit(0)).count() == 0
 
 
+def test_license_short_notices_and_wrapped_grants(spark):
+    grants = [n for n in ("mit-grant", "gpl-grant", "bsd-conditions", "isc-grant")]
+    wrapped = lambda t, width, mark: "\n".join(mark + x for x in textwrap.wrap("Copyright 2020 N. N. " + t + " and so on", width))
+    docs = {(n, width): wrapped(licenses.TEMPLATES[n], width, mark) for n in grants for width, mark in ((20, "# "), (40, " * "), (70, "\n"))}
+    docs["nc"], docs["sa"] = "Some text\nLicensed under CC BY-NC 4.0.\n", "License: CC BY-NC-SA 3.0"
+    docs["wrapped nc"] = "Licensed under\nCC BY-NC 4.0."
+    far = licenses.TEMPLATES["bsd-conditions"].split()
+    docs["far"] = "\n".join(f"{w} " + "other words that are between " * 9 for w in far)  # its words, but no passage
+    docs["in a line"] = "x\n" + licenses.TEMPLATES["isc-grant"] + "\ny"
+    ids = {d: k for k, d in enumerate(docs)}
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame([(ids[d], t) for d, t in docs.items()], "doc_id long, text string")).collect()}
+    for n in grants:
+        for width in (20, 40, 70):
+            r = got[ids[n, width]]
+            assert r["labels"] == n or (n == "gpl-grant" and r["labels"] in ("gpl,gpl-grant", "gpl,gpl-grant,gpl-notice")), r
+            assert r["score"] == 1.0
+    assert got[ids["nc"]]["labels"] == "cc-by-short,cc-nc-short" and got[ids["nc"]]["score"] == 1.0
+    assert got[ids["sa"]]["labels"] == "cc-by-tag,cc-nc-tag,cc-sa-tag"
+    assert got[ids["wrapped nc"]]["labels"] == "cc-by-short,cc-nc-short"
+    assert got[ids["far"]]["labels"] == "" and got[ids["far"]]["score"] == 0.0
+    assert got[ids["in a line"]]["labels"] == "isc-grant" and not got[ids["in a line"]]["passages"]
+
+
+def test_license_passages_brute_force(texts):
+    rng = random.Random(5)
+    index = licenses.Templates(licenses.TEMPLATES, 0.8, {})
+    vocabulary = [w for t in licenses.TEMPLATES.values() for w in licenses.words(t.encode())]
+    for k in range(300):
+        near = list(rng.choice([licenses.words(t.encode()) for t in licenses.TEMPLATES.values()]))
+        tokens = [rng.choice(vocabulary) for _ in range(rng.randint(0, 40))] + [w for w in near if rng.random() < 0.95] + [b"foo"] * rng.randint(0, 9)
+        lines = [[]]
+        for w in tokens:
+            lines[-1].append(w)
+            if rng.random() < 0.2:
+                lines.append([])
+        met = {(i, label) for i, line in enumerate(lines) for label, _ in index.matches(set(line))}
+        got = {label for _, _, label, _ in index.passages(lines, met)}
+        places = [(w, i) for i, line in enumerate(lines) for w in line]
+        for label, s in index.sets.items():
+            wide = [places[a : a + index.reach[label]] for a in range(len(places))]
+            free = [x for x in wide if not any((i, label) in met for _, i in x)]
+            # runs up to a line that is a match end before it
+            free += [x[:j] for x in wide for j in range(len(x)) if (x[j][1], label) in met and not any((i, label) in met for _, i in x[:j])]
+            assert (label in got) == any(len(s & {w for w, _ in x}) >= index.needed[label] for x in free), (k, label)
+
+
 # ---- 5
 
 
