@@ -90,6 +90,12 @@ def mesh_components(spark: SparkSession, sf: str) -> DataFrame:
     return G.face_components(faces(Tables(spark, sf)).where("a % 8 = 0 and b % 3 = 0"))
 
 
+@query()
+def mesh_components_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Components over every face: the recursive SQL of mesh_components can take a part of them only."""
+    return G.face_components(faces(Tables(spark, sf), whole=True))
+
+
 @query(f"WITH {MESHES}, c AS (SELECT mesh, unnest([a, b, c]) AS vid FROM faces), d AS (SELECT mesh, vid, count(*) AS degree FROM c GROUP BY ALL) SELECT mesh, vid, coalesce(degree, 0) AS degree FROM verts LEFT JOIN d USING (mesh, vid)")
 def mesh_vertex_degree(spark: SparkSession, sf: str) -> DataFrame:
     return G.vertex_degree(vertices(spark), faces(Tables(spark, sf)))

@@ -64,9 +64,10 @@ def frames(t: Tables) -> DataFrame:
     return t.events.select(F.col("user_id").alias("object"), n.alias("frame"), F.when(F.col("event_id") % 17 != 0, F.col("value") / 1000).alias("rms"), F.col("event_type").alias("sig"), "event_id")
 
 
-def faces(t: Tables) -> DataFrame:
+def faces(t: Tables, whole: bool = False) -> DataFrame:
+    """The faces of MESHES, lines 1 to 3 of each order; with ``whole`` those of all lines."""
     col = F.col
-    return t.lineitem.where("l_linenumber <= 3").select(
+    return (t.lineitem if whole else t.lineitem.where("l_linenumber <= 3")).select(
         (col("l_suppkey") % 5).alias("mesh"), (((col("l_orderkey") * 10 + col("l_linenumber")) * 100000 + col("l_partkey")) * 10000 + col("l_suppkey")).alias("fid"), (col("l_orderkey") % 97).alias("a"), (col("l_partkey") % 97).alias("b"), (col("l_suppkey") % 97).alias("c")
     )
 

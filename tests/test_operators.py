@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import arrays as A
 from gridloom.functions import ids
+import __spark_entry__ as entry
 from gridloom.operators import attention, curation, kernels, mesh, motion, sharding, voxels, windows
 from gridloom.sources import binary, tables
 from gridloom.streaming import resume
@@ -147,3 +148,40 @@ def test_kernel_failures_are_rows(spark):
 
     got = kernels.run_kernel(spark.range(3), None, kernel, "id long,error string", "id", 2).collect()
     assert {r["id"]: r["error"] for r in got} == {0: None, 1: "RuntimeError: no", 2: None}
+
+
+@pytest.fixture(scope="module")
+def lines(spark, tmp_path_factory):
+    """(folder, rows) of a small lineitem: all line numbers, repeated places, edges that few faces share."""
+    names = "l_orderkey l_linenumber l_partkey l_suppkey l_quantity l_extendedprice l_discount".split()
+    rng = np.random.default_rng(7)
+    rows = [(int(o), n, int(rng.integers(0, 60)), int(rng.integers(0, 60)), float(rng.integers(1, 50)), 1.5, 0.25) for o in range(60) for n in range(1, 8)]
+    # two faces that share an edge with a third only, which is line 5 of its order
+    rows += [(70, 1, 71, 75, 1.0, 1.0, 0.0), (70, 5, 71, 80, 1.0, 1.0, 0.0), (73, 2, 71, 80, 1.0, 1.0, 0.0)]
+    to = str(tmp_path_factory.mktemp("lines"))
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double").write.parquet(f"{to}/lineitem.parquet")
+    return to, [dict(zip(names, r, strict=True)) for r in rows]
+
+
+def test_whole_components_brute_force(spark, lines):
+    to, rows = lines
+    up, by_edge = {}, {}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for x in rows:
+        fid = ((x["l_orderkey"] * 10 + x["l_linenumber"]) * 100000 + x["l_partkey"]) * 10000 + x["l_suppkey"]
+        mesh, (a, b, c) = x["l_suppkey"] % 5, (x[k] % 97 for k in ("l_orderkey", "l_partkey", "l_suppkey"))
+        me = (mesh, fid)
+        up[me] = me
+        for p, q in ((a, b), (b, c), (c, a)):
+            other = top(by_edge.setdefault((mesh, min(p, q), max(p, q)), me))
+            mine = top(me)
+            up[max(mine, other)] = min(mine, other)
+    want = sorted((m, f, top((m, f))[1]) for m, f in up)
+    got = sorted((r["mesh"], r["fid"], r["component"]) for r in entry.queries()["mesh_components_whole"](spark, to).collect())
+    assert got == want and len(got) == len(rows)
+    assert len({w[::2] for w in want if w[1] > 70 * 10**10}) == 1
