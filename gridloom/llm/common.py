@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -11,21 +17,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of few rows, so that long texts do not add up in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows in batches whose text column holds about ``most`` bytes at most, or one row; nothing is copied.
+
+    Spark ends an Arrow batch at 64 MB; this bounds what Python objects of a batch take.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        part = (np.cumsum(size) - size) // most
+        cut = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cut, cut[1:], strict=False):
+            yield batch.slice(a, b - a)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that spark.checkpoint.dir names; a local one only where none is named."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """A reliable checkpoint in the folder that spark.checkpoint.dir names. Without one only a local session, as in tests, gets a folder of its own."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(named or "/tmp/checkpoints")
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """What spark.checkpoint.dir names; in a local session without it, a temporary folder."""
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="checkpoints")
+
+
 def whole_text(text: str | Column = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -31,8 +31,8 @@ HEX = "[0-9a-f]{32,}"  # as [0-9a-f]+ of 32 characters or more
 TOKEN = "[A-Za-z0-9+/_-]{20,}"
 KINDS = ["assign", "access", "hex", "random"]
 
-#: Bigram table: characters '-' to 'z' by code, 78 of them.
-LOW, WIDTH = 45, 78
+#: Bigram table: characters '+' to 'z' by code, 80 of them: all that TOKEN admits.
+LOW, WIDTH = ord("+"), ord("z") - ord("+") + 1
 #: Least sum of log-likelihood ratios (nats), and least mean for a bigram.
 LEAST_SUM, LEAST_MEAN = 8.0, 0.4
 SCALE = 1000  # ratios are kept as thousandths, so that sums do not depend on their order
@@ -108,11 +108,11 @@ def fit(sample: list[tuple[str, int]], weight: float = 0.05) -> list[int]:
 
 
 def log_ratio(token: Column, ratios: list[int]) -> Column:
-    """Sum of the bigram ratios of an ASCII token, in thousandths."""
+    """Sum of the bigram ratios of a token, in thousandths; a bigram with a character outside the table counts nothing."""
     known = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<int>")
     codes = F.transform(F.split(token, ""), lambda c: F.ascii(c) - LOW)
     n = F.size(codes)
-    pairs = F.zip_with(F.slice(codes, F.lit(1), n - 1), F.slice(codes, F.lit(2), n - 1), lambda x, y: F.get(known, x * WIDTH + y))
+    pairs = F.zip_with(F.slice(codes, F.lit(1), n - 1), F.slice(codes, F.lit(2), n - 1), lambda x, y: F.when(x.between(0, WIDTH - 1) & y.between(0, WIDTH - 1), F.get(known, x * WIDTH + y)).otherwise(0))
     return F.aggregate(pairs, F.lit(0).cast("long"), lambda acc, x: acc + x)
 
 
