@@ -2,15 +2,17 @@
 
 The upper nodes of the index are masked bit patterns that Spark shuffles by: the 64 bits fall into
 distance + 1 blocks, and two fingerprints within the distance agree in one block at least. A block value that
-too many fingerprints share is divided again by the blocks of its other bits, so no node has to fit a cap by
-dropping rows. Below, a task sorts a node's fingerprints by Gray rank, builds nodes of a few neighbours with the
+too many fingerprints share is divided by the blocks of its other bits, and what is still too large is dealt in
+parts that meet pair by pair, so no node is dropped, cut or held in one task. Below, a task sorts each node's fingerprints by Gray rank, builds nodes of a few neighbours with the
 bits all of them share, and descends from pairs of nodes, adding up differences in the bits newly shared, until a
-pair of groups is pruned. Groups already known to be connected are pruned too, so a dense group costs no
-all-pairs work, and only a spanning forest of the links leaves the task.
+pair of groups is pruned. All nodes of a task descend at once, those of two rows as those of thousands. Groups already
+known to be connected are pruned too, so a dense group costs no all-pairs work, and only a spanning forest of the
+links leaves the task.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,10 +21,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import checkpoint, small_batches
+from gridloom.llm.common import checkpoint, slices
 from gridloom.llm.components import components
 
-FANOUT, CHUNK, SMALL = 8, 1 << 13, 24
+FANOUT, CHUNK = 2, 1 << 14
 
 
 def simhash(text: bytes, shingle: int = 3) -> int:
@@ -45,15 +47,14 @@ def simhash(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3) -> DataFrame:
-    """All columns but ``text`` (null: empty), and ``fingerprint`` (long: the 64 bits), row for row."""
-    small_batches(docs.sparkSession)
+    """All columns but ``text`` (null: empty), and ``fingerprint`` (long: the 64 bits), row for row; a column of that name is replaced."""
     rest = [c for c in docs.columns if c not in (text, "fingerprint")]
-    at = rest.__len__()
+    at = len(rest)
     slim = docs.select(*rest, F.col(text).alias("__text"))
     schema = slim.select(*rest).schema.add("fingerprint", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, at):
             bodies = batch.column(at).cast(pa.binary())
             got = np.fromiter((simhash(x or b"", shingle) for x in bodies.to_pylist()), np.uint64, len(bodies)).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(got)], names=[*rest, "fingerprint"])
@@ -95,88 +96,93 @@ class Forest:
                 self.edges += zip(i[first].tolist(), j[first].tolist(), strict=True)
 
 
-def _levels(v: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(value, mask, first row) of the nodes, level by level, rows first: mask has the bits that all rows below share."""
-    full = np.uint64(0xFFFFFFFFFFFFFFFF)
-    levels = [(v, np.full(len(v), full), np.arange(len(v)))]
-    while len(levels[-1][0]) > 1:
-        val, mask, first = levels[-1]
-        cut = np.arange(0, len(val), FANOUT)
-        same = np.bitwise_and.reduceat(mask, cut) & ~(np.bitwise_or.reduceat(val, cut) ^ np.bitwise_and.reduceat(val, cut))
-        levels.append((val[cut] & same, same, first[cut]))
-    return levels
-
-
-def links(v: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Rows (i, j) of a spanning forest of all pairs within the distance; ``v`` must be in Gray order."""
-    n, forest = len(v), Forest(len(v))
-    near = np.flatnonzero(np.bitwise_count(v[1:] ^ v[:-1]) <= distance)
-    forest.join(near, near + 1)
-    levels = _levels(v)
-    top = len(levels) - 1
-    stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.uint64))]
+class Index:
+    """Levels of nodes over fingerprints that are sorted by group and, in it, by Gray rank; the top level has a node a group.
+
+    Of a node are kept the bits that all rows below share (``mask``), their values, its first row, and its children.
+    """
+
+    def __init__(self, v: np.ndarray, group: np.ndarray):
+        full = np.uint64(0xFFFFFFFFFFFFFFFF)
+        self.value, self.mask, self.first, self.child = [v], [np.full(len(v), full)], [np.arange(len(v))], [np.zeros(len(v) + 1, np.int64)]
+        while True:
+            begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            if len(begin) == len(group):
+                return
+            place = np.arange(len(group)) - np.repeat(begin, np.diff(np.append(begin, len(group))))
+            cut = np.flatnonzero(place % FANOUT == 0)
+            val, mask = self.value[-1], self.mask[-1]
+            same = np.bitwise_and.reduceat(mask, cut) & ~(np.bitwise_or.reduceat(val, cut) ^ np.bitwise_and.reduceat(val, cut))
+            self.value.append(val[cut] & same)
+            self.mask.append(same)
+            self.first.append(self.first[-1][cut])
+            self.child.append(np.append(cut, len(group)))
+            group = group[cut]
+
+
+def _expand(index: Index, level: int, a: np.ndarray, b: np.ndarray, diff: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Pairs of children, each once, of pairs of nodes."""
+    child = index.child[level]
+    na, nb = child[a + 1] - child[a], child[b + 1] - child[b]
+    pair = np.repeat(np.arange(len(a)), na * nb)
+    k = np.arange(len(pair)) - np.repeat(np.cumsum(na * nb) - na * nb, na * nb)
+    ca, cb = child[a][pair] + k // nb[pair], child[b][pair] + k % nb[pair]
+    on = ca <= cb
+    pair = pair[on]
+    return ca[on], cb[on], diff[pair], known[pair]
+
+
+def links(v: np.ndarray, group: np.ndarray, distance: int, seen: Counter | None = None) -> list[tuple[int, int]]:
+    """Rows (i, j) of a spanning forest of all pairs of a group within the distance.
+
+    Rows must be in order of their groups, and in a group in Gray order. ``seen`` counts pairs of nodes visited, pruned by
+    differences and pruned as connected, pairs of rows compared, links of neighbours and other links.
+    """
+    seen = Counter() if seen is None else seen
+    forest, index = Forest(len(v)), Index(v, group)
+    near = np.flatnonzero((np.bitwise_count(v[1:] ^ v[:-1]) <= distance) & (group[1:] == group[:-1]))
+    seen["neighbours"] += len(near)
+    forest.join(near, near + 1)  # neighbours in Gray order first: what is dense is soon known to be connected
+    top = len(index.value) - 1
+    each = np.arange(len(index.value[top]))
+    stack = [(top, each, each, np.zeros(len(each), np.int64), np.zeros(len(each), np.uint64))]
     while stack:
-        lv, a, b, diff, known = stack.pop()
+        level, a, b, diff, known = stack.pop()
         if len(a) > CHUNK:
             for k in range(0, len(a), CHUNK):
-                stack.append((lv, a[k : k + CHUNK], b[k : k + CHUNK], diff[k : k + CHUNK], known[k : k + CHUNK]))
+                stack.append((level, a[k : k + CHUNK], b[k : k + CHUNK], diff[k : k + CHUNK], known[k : k + CHUNK]))
             continue
-        val, mask, first = levels[lv]
+        value, mask = index.value[level], index.mask[level]
         shared = mask[a] & mask[b]
-        diff = diff + np.bitwise_count((val[a] ^ val[b]) & shared & ~known)
+        diff = diff + np.bitwise_count((value[a] ^ value[b]) & shared & ~known)
         on = diff <= distance
-        if lv:
-            r = forest.find()
-            low, high = np.minimum.reduceat(r, first), np.maximum.reduceat(r, first)
-            on &= ~((low[a] == high[a]) & (low[b] == high[b]) & (low[a] == low[b]))
-        else:
+        seen["nodes" if level else "rows"] += len(a) if level else int((a < b).sum())
+        seen["pruned by differences"] += int((~on).sum())
+        if not level:
             on &= a < b
-        a, b, diff, shared = a[on], b[on], diff[on], shared[on]
-        if not len(a):
-            continue
-        if not lv:
-            forest.join(a, b)
+            seen["links"] += int(on.sum())
+            forest.join(a[on], b[on])
             continue
-        below = len(levels[lv - 1][0])
-        step = np.arange(FANOUT)
-        ca = (a[:, None, None] * FANOUT + step[None, :, None]).repeat(FANOUT, 2).reshape(-1)
-        cb = (b[:, None, None] * FANOUT + step[None, None, :]).repeat(FANOUT, 1).reshape(-1)
-        d, k = diff.repeat(FANOUT * FANOUT), shared.repeat(FANOUT * FANOUT)
-        on = (ca < below) & (cb < below) & (ca <= cb)
-        stack.append((lv - 1, ca[on], cb[on], d[on], k[on]))
+        r = forest.find()
+        low, high = np.minimum.reduceat(r, index.first[level]), np.maximum.reduceat(r, index.first[level])
+        apart = ~((low[a] == high[a]) & (low[b] == high[b]) & (low[a] == low[b]))
+        seen["pruned as connected"] += int((on & ~apart).sum())
+        on &= apart
+        if on.any():
+            stack.append((level - 1, *_expand(index, level, a[on], b[on], diff[on], shared[on])))
     return forest.edges
 
 
-def _small(v: np.ndarray, group: np.ndarray, most: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs within the distance in groups of few rows, all such groups at once; rows of a group are neighbours."""
-    i, j = [], []
-    for d in range(1, most):
-        hit = np.flatnonzero((group[d:] == group[:-d]) & (np.bitwise_count(v[d:] ^ v[:-d]) <= distance))
-        i.append(hit)
-        j.append(hit + d)
-    return (np.concatenate(i), np.concatenate(j)) if i else (np.zeros(0, int), np.zeros(0, int))
-
-
 def _search(distance: int):
-    def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-
     def solve(key: np.ndarray, v: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((gray_rank(v), key))
         key, v = key[order], v[order]
-        cut = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        size = np.diff(np.append(cut, len(key)))
-        each = np.repeat(size, size)
-        few = each <= SMALL
-        if few.any():
-            i, j = _small(v[few], key[few], int(size[size <= SMALL].max()), distance)
-            if len(i):
-                yield out(v[few][i], v[few][j])
-        for at, n in zip(cut[size > SMALL], size[size > SMALL], strict=True):
-            part = v[at : at + n]
-            if found := links(part, distance):
-                e = np.array(found)
-                yield out(part[e[:, 0]], part[e[:, 1]])
+        same = key[1:] == key[:-1]
+        company = np.append(False, same) | np.append(same, False)  # a fingerprint alone in its node has no pair
+        key, v = key[company], v[company]
+        if len(v) and (found := links(v, key, distance)):
+            e = np.array(found)
+            yield pa.RecordBatch.from_arrays([pa.array(v[e[:, k]].view(np.int64)) for k in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, vals, held = [], [], 0
@@ -198,64 +204,71 @@ def _search(distance: int):
     return run
 
 
-def _upper(rows: DataFrame, free: list[int], blocks: int) -> DataFrame:
-    """Rows (key, fingerprint, free): a row for each block of the free bits, keyed by what it had and the block's value."""
-    step = -(-len(free) // blocks)
-    parts = [free[k : k + step] for k in range(0, len(free), step)]
+def _bits(mask: int, blocks: int) -> list[int]:
+    """The bits of a mask in blocks of as equal size as can be, each a mask."""
+    on = [1 << k for k in range(64) if mask >> k & 1]
+    at = [len(on) * k // blocks for k in range(blocks + 1)]
+    return [sum(on[a:b]) for a, b in zip(at, at[1:], strict=False)]
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
 
-    def value(bits: list[int]):
-        # blocks are runs of neighbouring free bits, so a shift and a mask reads each run
-        runs, out, at = [], F.lit(0).cast("long"), 0
-        for x in bits:
-            if runs and runs[-1][0] + runs[-1][1] == x:
-                runs[-1][1] += 1
-            else:
-                runs.append([x, 1])
-        for x, n in runs:
-            out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned("fingerprint", x).bitwiseAND(F.lit((1 << n) - 1)), at))
-            at += n
-        return out
 
-    each = [F.struct(F.lit(k).alias("block"), value(p).alias("value")) for k, p in enumerate(parts)]
-    x = rows.select("key", "fingerprint", F.explode(F.array(*each)).alias("e"))
-    return x.select(F.xxhash64("key", "e.block", "e.value").alias("key"), "fingerprint", F.col("e.block").alias("block"))
+def _upper(blocks: int):
+    """Rows (key, fingerprint, free): for each block of the free bits, keyed by what the row had and the block's value."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, v, free = (c.to_numpy(zero_copy_only=False).view(np.uint64) for c in batch.columns)
+            for mask in np.unique(free):
+                mine = free == mask
+                for block in map(np.uint64, _bits(int(mask), blocks)):
+                    made = _mix(_mix(key[mine] ^ block) ^ (v[mine] & block)), v[mine], np.full(int(mine.sum()), mask & ~block)
+                    yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in made], names=["key", "fingerprint", "free"])
 
-def near_links(prints: DataFrame, distance: int = 3, cap: int = 200_000) -> DataFrame:
+    return run
+
+
+def near_links(prints: DataFrame, distance: int = 3, cap: int = 200_000, divisions: int = 2) -> DataFrame:
     """(a, b): links between distinct fingerprints, a spanning forest of each node's; their components are exact.
 
     ``prints``: one column ``fingerprint``, distinct. A block value of more than ``cap`` fingerprints is divided by the
-    blocks of its other bits, twice at most; what is still larger is searched as it is, by the index in one task.
-    A key is a hash of blocks and values; a collision only adds candidates.
+    blocks of its other bits, ``divisions`` times. What is larger still is dealt in parts of about ``cap``, and
+    every two parts meet in a task of their own. A key is a hash of blocks and values; a collision only adds candidates.
     """
     if not 1 <= distance <= 7:
         raise ValueError("distance must be 1 to 7")
-    blocks = distance + 1
-    todo = [(prints.select(F.lit(0).cast("long").alias("key"), "fingerprint"), list(range(64)), 0)]
+    fields = "key long, fingerprint long, free long"
+    keyed = prints.select(F.lit(0).cast("long").alias("key"), "fingerprint", F.lit(-1).cast("long").alias("free")).mapInArrow(_upper(distance + 1), fields)
     done: list[DataFrame] = []
-    while todo:
-        rows, free, depth = todo.pop()
-        keyed = _upper(rows, free, blocks)
-        if depth < 2:
-            hot = checkpoint(keyed.groupBy("key", "block").count().where(F.col("count") > cap).select("key", "block"))
-            if not hot.isEmpty():
-                step = -(-len(free) // blocks)
-                for k in sorted(r[0] for r in hot.select("block").distinct().collect()):  # as many rows as blocks at most
-                    mine = keyed.where(F.col("block") == k).join(hot.where(F.col("block") == k).select("key"), "key", "left_semi")
-                    todo.append((mine.select("key", "fingerprint"), free[: k * step] + free[(k + 1) * step :], depth + 1))
-                keyed = keyed.join(hot.select("key"), "key", "left_anti")
-        done.append(keyed.select("key", "fingerprint"))
+    for division in range(divisions + 1):
+        hot = checkpoint(keyed.groupBy("key").count().where(F.col("count") > cap))
+        if hot.isEmpty():
+            break
+        done.append(keyed.join(hot.select("key"), "key", "left_anti").select("key", "fingerprint"))
+        if division < divisions:
+            rows = checkpoint(keyed.join(hot.select("key"), "key", "left_semi").select("key", "fingerprint", "free"))
+            keyed = rows.mapInArrow(_upper(distance + 1), fields)
+        else:
+            both = keyed.join(hot, "key").withColumn("parts", F.ceil(F.col("count") / cap).cast("int")).withColumn("mine", F.pmod(F.xxhash64("fingerprint"), F.col("parts")))
+            both = both.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            keyed = both.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "fingerprint")
+    done.append(keyed.select("key", "fingerprint"))
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = [k.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_search(distance), "a long, b long") for k in done]
-    out = found[0]
-    for x in found[1:]:
-        out = out.union(x)
+    out = None
+    for rows in done:
+        found = rows.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_search(distance), "a long, b long")
+        out = found if out is None else out.union(found)
     return out
 
 
 def clusters(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = 3) -> DataFrame:
-    """Row for row: ``doc_id``, ``text_hash`` (XXH64 of the text), ``fingerprint`` and ``component_id``.
+    """Row for row: ``doc_id``, ``text_hash`` (XXH64 of the text), ``fingerprint``, ``component`` and ``component_id``.
 
+    component names the component by a fingerprint of it; it tells components apart where a doc_id stands in several.
     component_id is the smallest doc_id reachable by links of at most ``distance`` differing bits. Null texts are
     empty; texts without words have fingerprint 0 and link as any other. A row of null id links like others but
     names no component unless all of its ids are null (component_id is then null). Repeated rows stay repeated.
@@ -266,17 +279,15 @@ def clusters(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distan
     found = components(near_links(classes.select("fingerprint"), distance))
     named = classes.join(found, F.col("fingerprint") == F.col("node"), "left").select("fingerprint", "least", F.coalesce("component", "fingerprint").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("fingerprint", "component_id")
-    return rows.join(named, "fingerprint").select("doc_id", "text_hash", "fingerprint", "component_id")
+    named = named.join(least, "component").select("fingerprint", "component", "component_id")
+    return rows.join(named, "fingerprint").select("doc_id", "text_hash", "fingerprint", "component", "component_id")
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = 3) -> DataFrame:
     """The same columns, one row of each component: the smallest id, then the smallest text hash; any one of equal rows."""
     found = checkpoint(clusters(docs, doc_id, text, distance))
     repeated = not found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
-    found = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("f")).agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("r")
-    )
+    found = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("r"))
     keep = found.select(F.col("r.doc_id").alias("__id"), F.col("r.text_hash").alias("__hash"))
     marked = docs.withColumn("__hash", F.xxhash64(F.coalesce(F.col(text), F.lit("")))).alias("d")
     kept = marked.join(keep.alias("k"), F.col(f"d.{doc_id}").eqNullSafe(F.col("k.__id")) & (F.col("d.__hash") == F.col("k.__hash")), "left_semi")
