@@ -1,14 +1,16 @@
 """Removal of text that occurs before: hashed lines and paragraphs, the earliest occurrence stays.
 
-A unit is a whole line that has a word, however short, or a paragraph of whole sentences: from a sentence on, or up to
-one, as few as hold ``least_words`` words. Sentences end at line ends and after . ! ? and the like before white space;
-one of more than ``longest`` words is cut after words whose CRC says so and after a word that repeats, which does not
-depend on what stands around them. So a passage is found wherever it stands, inside a line too. Units are compared by
-a 128-bit digest of their words, A-Z lowered and white space made one space.
+Units are whole lines that have a word, however short, and within lines the sentences; a digest is of a unit's words, A-Z
+lowered and white space made one space. Digests are grouped over all documents, and each occurrence but the least in rank
+(doc_id, place) is a later one. Later lines go. Of later sentences whole paragraphs go: runs of neighbours that are all
+later and hold ``least_words`` words together, so a passage is found wherever it stands, inside a line too, and a short
+sentence alone stays. The first occurrence of a digest is in no later line and no such paragraph, so it always stays.
+
+Sentences end at line ends and after . ! ? and the like before white space; one of more than ``longest`` words is
+cut after words whose CRC says so and after a word that repeats, which does not depend on what stands around them.
 
 A task drops, before anything is shuffled, the units that it has itself seen earlier in rank: a digest that a
-third of all rows hold reaches the shuffle once a task. Rank is (doc_id, place), so the earliest occurrence
-of each digest stays and every later one goes, with its offsets in the original text.
+third of all rows hold reaches the shuffle once a task.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import small_batches, with_fields
+from gridloom.llm.common import slices, with_fields
 
 LEAST_WORDS, LONGEST = 20, 24
 _ENDS = re.compile(rb"\n+|(?:[.!?;]|\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f|\xe2\x80\xa6)[\"')\]]*(?=[ \t\r\n])")
@@ -70,89 +72,90 @@ def lines(body: bytes) -> Iterator[tuple[int, int, bytes]]:
         at += len(line) + 1
 
 
-def units(body: bytes, least_words: int = LEAST_WORDS) -> list[tuple[int, int, bytes]]:
-    """(start, end, digest) of the lines and paragraphs of a text, in bytes, each once."""
-    sents = sentences(body)
-    if not sents:
-        return []
-    total = np.cumsum([0, *(len(w) for _, _, w in sents)])
-    texts = [b" ".join(w) for _, _, w in sents]
-    n = len(sents)
-    to = np.searchsorted(total, total[:-1] + least_words)  # of each first sentence, the end
-    since = np.searchsorted(total, total[1:] - least_words, side="right") - 1  # of each last sentence, the first
-    runs = {(i, int(j)) for i, j in enumerate(to.tolist()) if j <= n} | {(int(i), j + 1) for j, i in enumerate(since.tolist()) if i >= 0}
+def units(body: bytes) -> list[tuple[int, int, bool, bytes]]:
+    """(start, end, whether a line, digest) of the lines and the sentences of a text, in bytes.
+
+    A sentence that is a whole line is no unit of its own; a line whose words stand before as a sentence is a later one.
+    """
     digest = xxhash.xxh3_128_digest
-    found = {(a, b): digest(words) for a, b, words in lines(body)}
-    found |= {(sents[i][0], sents[j - 1][1]): digest(b" ".join(texts[i:j])) for i, j in runs}
-    return [(a, b, h) for (a, b), h in sorted(found.items())]
+    found = [(a, b, True, digest(words)) for a, b, words in lines(body)]
+    whole = {(a, b) for a, b, *_ in found}
+    return found + [(a, b, False, digest(b" ".join(words))) for a, b, words in sentences(body) if (a, b) not in whole]
+
 
+#: A row's ``size`` is bytes and, in this bit, whether the unit is a line; it is negative if a task knows the unit to be a later one.
+_LINE = 31
+_BYTES = (1 << _LINE) - 1
 
-def _candidates(least_words: int, memo: int):
-    """Rows (local, h1, h2, doc_id, place, end): units, one of each digest, and with local 1 those found to be later ones."""
+
+def _candidates(memo: int):
+    """Rows (h1, h2, doc_id, place, size): the least of each digest in the task, and all others, marked as later ones under digests of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first: dict[bytes, tuple[int, int, int, int]] = {}
-
-        def rows(found: list[tuple[int, bytes, tuple]]) -> pa.RecordBatch:
-            h = np.frombuffer(b"".join(x[1] for x in found), "<i8").reshape(-1, 2)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([x[0] for x in found], pa.int32()),
-                    pa.array(h[:, 0]),
-                    pa.array(h[:, 1]),
-                    pa.array([x[2][1] for x in found], pa.int64()),
-                    pa.array([x[2][2] for x in found], pa.int64()),
-                    pa.array([x[2][3] for x in found], pa.int64()),
-                ],
-                names=["local", "h1", "h2", "doc_id", "place", "end"],
-            )
-
-        for batch in batches:
+        first: dict[bytes, tuple[bool, int, int, int]] = {}
+
+        def rows(digests: list[bytes], found: list[tuple]) -> pa.RecordBatch:
+            h = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            made = [pa.array(h[:, 0]), pa.array(h[:, 1]), *(pa.array([x[k] for x in found], pa.int64()) for k in (1, 2, 3))]
+            return pa.RecordBatch.from_arrays(made, names=["h1", "h2", "doc_id", "place", "size"])
+
+        for batch in slices(batches, 1):
             later = []
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 body = body or b""
-                crc = zlib.crc32(body) << 31
-                for a, b, h in units(body, least_words):
-                    mine = (doc is None, doc, crc + a, b)
-                    if (other := first.get(h)) is None:
-                        first[h] = mine
-                    elif (mine[0], mine[1] or 0, mine[2]) < (other[0], other[1] or 0, other[2]):
-                        later.append((1, h, other))
-                        first[h] = mine
-                    elif mine[:3] != other[:3]:
-                        later.append((1, h, mine))
+                crc, none, rank = zlib.crc32(body) << 31, doc is None, doc or 0
+                for a, b, line, h in units(body):
+                    mine = (none, rank, crc + a, line << _LINE | b - a)
+                    other = first.setdefault(h, mine)
+                    if other is mine:
+                        continue
+                    if mine < other:
+                        first[h], mine, other = mine, other, mine
+                    if mine[:3] != other[:3]:
+                        later.append(mine)
             if later:
-                yield rows(later)
+                later = [(x[0], None if x[0] else x[1], x[2], -x[3]) for x in later]
+                yield rows([xxhash.xxh3_128_digest(b"%r" % (x,)) for x in later], later)
             if len(first) > memo:
-                yield rows([(0, h, x) for h, x in first.items()])
+                yield rows(list(first), [(x[0], None if x[0] else x[1], *x[2:]) for x in first.values()])
                 first = {}
         if first:
-            yield rows([(0, h, x) for h, x in first.items()])
+            yield rows(list(first), [(x[0], None if x[0] else x[1], *x[2:]) for x in first.values()])
 
     return run
 
 
-def later_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, memo: int = 400_000) -> DataFrame:
-    """(doc_id, text_crc, start, end) in bytes of every unit that a lower rank holds too. Null ids rank last."""
-    small_batches(docs.sparkSession, 500)
+def later_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", memo: int = 400_000) -> DataFrame:
+    """(doc_id, text_crc, start, end, line) in bytes of every unit that a lower rank holds too. Null ids rank last."""
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    found = slim.mapInArrow(_candidates(least_words, memo), "local int, h1 long, h2 long, doc_id long, place long, end long")
-    # Rows known to be later need no company; each gets a key of its own
-    found = found.withColumn("own", F.when(F.col("local") == 1, F.xxhash64("doc_id", "place", "end")).otherwise(0))
-    rank = F.rank().over(Window.partitionBy("h1", "h2", "own").orderBy(F.col("doc_id").asc_nulls_last(), "place"))
-    later = found.withColumn("rank", rank).where("local = 1 or rank > 1")
-    return later.select("doc_id", F.shiftright("place", 31).alias("text_crc"), F.col("place").bitwiseAND((1 << 31) - 1).alias("start"), "end")
+    found = slim.mapInArrow(_candidates(memo), "h1 long, h2 long, doc_id long, place long, size long")
+    rank = F.rank().over(Window.partitionBy("h1", "h2").orderBy(F.col("doc_id").asc_nulls_last(), "place"))
+    later = found.withColumn("rank", rank).where("size < 0 or rank > 1")
+    start, size = F.col("place").bitwiseAND(F.lit(_BYTES)), F.abs("size")
+    line = F.shiftright(size, _LINE) == 1
+    return later.select("doc_id", F.shiftright("place", 31).alias("text_crc"), start.alias("start"), (start + size.bitwiseAND(F.lit(_BYTES))).alias("end"), line.alias("line"))
+
+
+def removable(body: bytes, later: list[tuple[int, int, bool]], least_words: int = LEAST_WORDS) -> list[tuple[int, int]]:
+    """Spans of the later lines, and of the runs of neighbouring later units that hold ``least_words`` words together."""
+    runs: list[list[int]] = []
+    for a, b, _ in sorted(later):
+        if runs and (a <= runs[-1][1] or not body[runs[-1][1] : a].strip()):
+            runs[-1][1] = max(b, runs[-1][1])
+        else:
+            runs.append([a, b])
+    return [(a, b) for a, b, line in later if line] + [(a, b) for a, b in runs if len(body[a:b].split()) >= least_words]
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """All columns, row for row, with ``text`` less its later units, and ``removed``: array of (start, end) in the original.
 
     Offsets are code points. Null texts stay null, with nothing removed; so do texts without a unit. Rows that repeat a
-    doc_id with the same text count as one document: they do not make each other later. A repeated doc_id with other
+    doc_id with the same text count as one document: they do not make each other later, but repeats within the text do. A repeated doc_id with other
     text is another document, ranked by the CRC of its text. Null ids rank last. A removed part takes the white
     space after it along.
     """
-    gone = later_units(docs, doc_id, text, least_words).groupBy("doc_id", "text_crc").agg(F.collect_set(F.struct("start", "end")).alias("__gone"))
+    gone = later_units(docs, doc_id, text).groupBy("doc_id", "text_crc").agg(F.collect_set(F.struct("start", "end", "line")).alias("__gone"))
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("text_crc").alias("__crc"), "__gone")
     keep = [c for c in docs.columns if c != "removed"]
     marked = docs.select(*keep).withColumn("__key", F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")))
@@ -160,10 +163,13 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     at, names = keep.index(text), [*keep, "removed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, at):
             texts, removed = [], []
-            for body, spans in zip(batch.column(at).to_pylist(), batch.column(len(keep)).to_pylist(), strict=True):
-                body, cut = without(body, [(s["start"], s["end"]) for s in spans or ()])
+            for body, later in zip(batch.column(at).to_pylist(), batch.column(len(keep)).to_pylist(), strict=True):
+                if later:
+                    body, cut = without(body, removable((body or "").encode(), [(s["start"], s["end"], s["line"]) for s in later], least_words))
+                else:
+                    cut = []
                 texts.append(body)
                 removed.append([{"start": a, "end": b} for a, b in cut])
             columns = list(batch.columns[: len(keep)])
