@@ -1,12 +1,13 @@
 """Chat formatting with offset-aligned loss masks.
 
-A turn is written as ``### role: text</turn>`` and a line end. In roles and texts a backslash goes before a backslash,
-before ``###`` and before ``</turn>`` (in roles before a colon too), so a control string in a text cannot end or begin a turn
-and reading back is exact. A conversation is rendered whole and encoded once with offsets; the sorted spans of the
-assistant's texts meet the sorted token spans by binary search, and a token that crosses an edge is clipped to it.
-
-A conversation that is too long for a task's memory is written in parts of whole turns. A line end followed by # is
-a token boundary of its own, so the ids of the parts are those of the whole.
+A turn is written as ``<|role|>role<|text|>text<|end|>`` and a line end. The three marks are special tokens, with the ids
+behind the vocabulary's, so the edges of a text are edges of tokens whatever the text begins or ends with. In roles and
+texts a backslash goes before a backslash and between ``<`` and ``|``, so no text can spell a mark, and reading back is
+exact. A conversation is rendered whole and encoded once with offsets; the sorted spans of the assistant's texts meet the
+sorted token spans by binary search.
+
+A conversation that is too long for a task's memory is written in parts of whole turns. A part begins with a mark, so the
+ids of the parts are those of the whole.
 """
 
 from __future__ import annotations
@@ -20,19 +21,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import AddedToken
 
 from gridloom.llm import bpe
-from gridloom.llm.common import small_batches
+from gridloom.llm.common import slices
 
-_CONTROL = re.compile(r"\\|###|</turn>")
-_ROLE = re.compile(r"\\|###|</turn>|:")
-_TURN = re.compile(r"### ((?:[^\\:]++|\\.)*+): ((?:[^\\<]++|\\.|<(?!/turn>))*+)</turn>\n", re.S)
+ROLE, TEXT, END = MARKS = ("<|role|>", "<|text|>", "<|end|>")
+_ESCAPED = re.compile(r"\\|<(?=\|)")
+_BODY = r"((?:[^\\<]++|\\.|<(?!\|))*+)"
+_TURN = re.compile(re.escape(ROLE) + _BODY + re.escape(TEXT) + _BODY + re.escape(END) + "\n", re.S)
 _BACK = re.compile(r"\\(.)", re.S)
 FIELDS = "conv_id long, part int, last boolean, formatted string, ids array<int>, loss_mask array<boolean>, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
-def escape(text: str, control: re.Pattern = _CONTROL) -> str:
-    return control.sub(lambda m: "\\" + m[0], text)
+def escape(text: str) -> str:
+    return _ESCAPED.sub(lambda m: "\\\\" if m[0] == "\\" else "<\\", text)
 
 
 def unescape(text: str) -> str:
@@ -40,7 +43,7 @@ def unescape(text: str) -> str:
 
 
 def render(turns: list[tuple[str, str]]) -> str:
-    return "".join(f"### {escape(role, _ROLE)}: {escape(text)}</turn>\n" for role, text in turns)
+    return "".join(f"{ROLE}{escape(role)}{TEXT}{escape(text)}{END}\n" for role, text in turns)
 
 
 def read_back(formatted: str) -> Iterator[tuple[str, str, int, int]]:
@@ -55,17 +58,30 @@ def read_back(formatted: str) -> Iterator[tuple[str, str, int, int]]:
         raise ValueError("not a formatted conversation")
 
 
-def mask(spans: list[tuple[int, int]], starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Which tokens meet a span, and for each span what its tokens cover of it; both sorted."""
-    on, covered = np.zeros(len(starts), bool), []
+def mask(spans: list[tuple[int, int]], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which tokens meet a span; all sorted."""
+    on = np.zeros(len(starts), bool)
     for a, b in spans:
-        lo, hi = int(np.searchsorted(ends, a, "right")), int(np.searchsorted(starts, b, "left"))
-        if lo < hi and a < b:
-            on[lo:hi] = True
-            covered.append((max(a, int(starts[lo])), min(b, int(ends[hi - 1]))))
-        else:
-            covered.append((a, a))
-    return on, covered
+        if a < b:
+            on[int(np.searchsorted(ends, a, "right")) : int(np.searchsorted(starts, b, "left"))] = True
+    return on
+
+
+def covered(on: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(start, end) of what runs of masked tokens cover."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], on, [False]]).astype(np.int8)))
+    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+        yield int(starts[a]), int(ends[b - 1])
+
+
+@functools.lru_cache(maxsize=4)
+def tokenizer(path: str, pattern: str) -> tuple[bpe.Encoder, list[bytes]]:
+    """An encoder that knows the marks, and the bytes of each id."""
+    ranks = bpe.read_ranks(path)
+    made = bpe.tokenizer_of_ranks(ranks, pattern)
+    made.add_special_tokens([AddedToken(m, special=True, normalized=False) for m in MARKS])
+    table = bpe.byte_table(ranks | {m.encode(): made.token_to_id(m) for m in MARKS})
+    return bpe.Encoder(made), table
 
 
 class _Open:
@@ -91,8 +107,8 @@ class _Open:
             self.sha.update(f"{role}\n{text}\n".encode())
             if role == assistant:
                 spans.append((a, b))
-        on, covered = mask(spans, places[:, 0], places[:, 1])
-        for a, b in covered:
+        on = mask(spans, places[:, 0], places[:, 1])
+        for a, b in covered(on, places[:, 0], places[:, 1]):
             text = unescape(formatted[a:b])
             self.loss += len(text)
             self.loss_sha.update(text.encode())
@@ -110,7 +126,7 @@ _KINDS = [
 
 
 def _format(path: str, pattern: str, assistant: str, most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    encoder, table = bpe.encoder_of_ranks(path, pattern), bpe._table(path, pattern)
+    encoder, table = tokenizer(path, pattern)
     write = functools.partial(_Open.write, encoder=encoder, table=table, assistant=assistant)
     rows: list[dict] = []
     size, now = 0, None
@@ -118,7 +134,7 @@ def _format(path: str, pattern: str, assistant: str, most: int, batches: Iterato
     def out() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], k) for n, k in _KINDS], names=[n for n, _ in _KINDS])
 
-    for batch in batches:
+    for batch in slices(batches, 2):
         for conv, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if now is None or now.conv != conv:
                 if now is not None:
@@ -143,10 +159,10 @@ def format_chat(turns: DataFrame, path: str, pattern: str, assistant: str = "ass
 
     Turns follow by turn, then role and text, nulls first; repeated rows are repeated turns. Null roles and texts are
     empty; rows of null conv_id are one conversation. A conversation of more than ``most`` characters comes in parts of whole
-    turns, numbered from 0; the last has ``last`` and the totals of the whole, the others null totals.
+    turns, numbered from 0; the last has ``last`` and the totals of the whole, the others null totals. The digest of the loss is
+    read from what the masked tokens cover. Turns of no table give no rows; further columns are left out.
     """
     spark = turns.sparkSession
-    small_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text").repartition(n, "conv_id")
     rows = rows.sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
