@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import small_batches, with_fields
+from gridloom.llm.common import slices, with_fields
 
 # Fixed phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -135,12 +135,11 @@ class Templates:
 
 def frequencies(docs: DataFrame, templates: dict[str, str], text: str = "text") -> dict[bytes, int]:
     """In how many blocks of all documents each template word stands; as many numbers as the templates have words."""
-    small_batches(docs.sparkSession)
     vocabulary = frozenset(w for t in templates.values() for w in words(t.encode()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter[bytes] = Counter()
-        for batch in batches:
+        for batch in slices(batches, 0):
             for body in batch.column(0).cast(pa.binary()).to_pylist():
                 for line in (body or b"").translate(LINES).split(b"\n"):
                     n.update(vocabulary.intersection(line.split()))
@@ -152,7 +151,7 @@ def frequencies(docs: DataFrame, templates: dict[str, str], text: str = "text")
 
 def _scan(index: Templates, phrases: dict[str, str], rest: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     wanted = [(f" {p} ".encode(), label) for p, label in phrases.items()]
-    for batch in batches:
+    for batch in slices(batches, len(rest)):
         n_words, places, base, labels, score, blocks, passages = [], [], [], [], [], [], []
         for body in batch.column(len(rest)).cast(pa.binary()).to_pylist():
             mapped = (body or b"").translate(LINES)
@@ -160,11 +159,13 @@ def _scan(index: Templates, phrases: dict[str, str], rest: list[str], batches: I
             joined = b" %b " % b" ".join(own)
             starts, found, best = [], set(), 0.0
             for p, label in wanted:
-                at = joined.find(p)
+                at, before, n = joined.find(p), 0, 0
                 while at >= 0:
-                    starts.append(joined.count(b" ", 0, at + 1) - 1)
+                    n += joined.count(b" ", before, at + 1)  # spaces up to here; each stretch is counted once
+                    before = at + 1
+                    starts.append(n - 1)
                     found.add(label)
-                    at = joined.find(p, at + 1)
+                    at = joined.find(p, before)
             lines = [line.split() for line in mapped.split(b"\n")]
             met = [(k, label, share) for k, line in enumerate(lines) for label, share in index.matches(set(line))]
             across = index.passages(lines, {(k, label) for k, label, _ in met})

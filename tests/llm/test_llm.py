@@ -69,12 +69,40 @@ def test_secrets_brute_force(spark, texts, odd):
 
 
 def test_markov_tells_random_from_ordinary(spark):
-    ratios = secrets.fit(secrets.labelled_sample()[:4000])
-    held = [(s, y) for s, y in secrets.labelled_sample()[4000:] if len(s) >= 20]
-    df = spark.createDataFrame(held, "s string, y int")
-    mean = secrets.log_ratio(F.col("s"), ratios) / (F.length("s") - 1)
-    right = df.where(((mean >= 400) & (F.col("y") == 1)) | ((mean < 400) & (F.col("y") == 0))).count()
-    assert right / len(held) > 0.95
+    """Random strings of another source, and names of the standard library, which the sample does not have."""
+    rng = random.Random(11)
+    made = []
+    for _ in range(500):
+        raw = rng.randbytes(36)
+        made += [(base64.b64encode(raw).decode(), 1), (base64.urlsafe_b64encode(raw).decode()[:32], 1), (raw.hex(), 1)]
+    import ast, http.client, logging.handlers, pathlib, subprocess, unittest.mock  # noqa: E401, I001
+
+    names = {n for m in (ast, http.client, logging.handlers, pathlib, subprocess, unittest.mock) for k, v in vars(m).items() for n in [k, *dir(v)]}
+    plain = sorted(names)
+    made += [("_".join(rng.sample(plain, 4)).strip("_"), 0) for _ in range(1500)]
+    made = [(s, y) for s, y in made if 20 <= len(s)]
+    df = spark.createDataFrame(made, "s string, y int")
+    ratios = secrets.fit(secrets.labelled_sample())
+    score = secrets.log_ratio(F.col("s"), ratios)
+    called = ((score >= 8000) & (score >= (F.length("s") - 1) * 400)).cast("int")
+    got = {r["y"]: r["share"] for r in df.groupBy("y").agg(F.avg(called).alias("share")).collect()}
+    assert got[1] > 0.97 and got[0] < 0.03
+
+
+def test_random_tokens_with_plus(spark):
+    rng = random.Random(3)
+    tokens = [base64.b64encode(rng.randbytes(30)).decode() for _ in range(1000)]
+    docs = spark.createDataFrame([(k, f"see {t} here") for k, t in enumerate(tokens)], "doc_id long, text string")
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in secrets.scan(docs).collect()}
+    found = [got[k] == [(4, 3, 44)] for k in range(1000)]
+    plus = ["+" in t for t in tokens]
+    share = [sum(f for f, p in zip(found, plus, strict=True) if p == k) / plus.count(k) for k in (False, True)]
+    assert min(share) > 0.97 and plus.count(True) > 300
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    theirs = dict(con.sql(f"select doc_id, spans from ({queries.oracle_sql()['op1_secrets']})").fetchall())
+    assert {k: v != "" for k, v in theirs.items()} == {k: bool(v) for k, v in got.items()}
+    assert theirs[0] == "random:4:44"
 
 
 def test_redaction_keeps_the_rest(spark, texts):
@@ -147,15 +175,77 @@ def test_label_sample_is_bounded(spark, monkeypatch):
         assert toxicity.labelled_rows(docs, labels).count() == learned
 
 
+def reader(**more):
+    return toxicity.Reader(frozenset({"idiot"}), frozenset(), **more)
+
+
 def test_grammar_forms():
-    g = toxicity.Grammar(frozenset({"idiot"}), frozenset())
-    name = lambda t: [toxicity.FORMS[k] for k in np.flatnonzero(g.forms(t))]
+    g = reader()
+    name = lambda t: [f for f, n in zip(toxicity.FORMS, g.read(t)[1], strict=True) for _ in range(int(n))]
     assert name("you are an idiot") == ["insult+target"]
     assert name("an idiot wrote it, see?") == ["insult+reported"]
     assert name("he is not an idiot") == ["insult+target+negated"]
+    assert name("an idiot, for sure, them") == ["insult+target"] and name("an idiot a b c d them") == ["insult"]
+    assert name("you idiot, but he is not an idiot") == ["insult+target", "insult+target+negated"]
+    assert name("they said " + "so " * 400 + "what an idiot") == ["insult+reported"] == name("what an idiot " + "so " * 400 + "it is, wrote one")
+    assert name('"what" an idiot') == ["insult+reported"] and name('what" an idiot') == ["insult"]
+    assert name("x idiot a b idiot c idiot " + "so " * 300 + "idiot") == ["insult"] * 4
     assert name("nothing here") == [] and name("") == []
 
 
+def forms_by_hand(terminals, reach=toxicity.REACH):
+    words = [x for x in terminals if x != toxicity.QUOTE]
+    told = "report word" in words or terminals.count(toxicity.QUOTE) >= 2
+    out = []
+    for k, x in enumerate(words):
+        if x in ("insult word", "threat word"):
+            near = words[max(0, k - reach) : k + reach + 1]
+            out.append(x.split()[0] + "+target" * ("target word" in near) + "+negated" * ("negation word" in words[max(0, k - reach) : k]) + "+reported" * told)
+    return out
+
+
+def test_composition_is_the_six_in_sequence():
+    weights = tuple(float(k) ** 2 for k in range(len(toxicity.FORMS)))
+    whole = toxicity.grammar(weights)
+    each = [toxicity.insult(), toxicity.threat(), toxicity.target(), toxicity.negation(), toxicity.report(), toxicity.weigh(weights)]
+    rng = random.Random(8)
+    for _ in range(1500):
+        terminals = rng.choices([*toxicity.WORDS, toxicity.QUOTE], [6, 1, 1, 0.3, 1, 2, 0.5], k=rng.randint(0, 25))
+        total, symbols = 0.0, terminals
+        for t in each:
+            weight, symbols = t.read(symbols)
+            total += weight
+        assert whole.read(terminals) == (total, symbols)
+        forms = [x for x in symbols if x in toxicity.FORMS]
+        assert forms == forms_by_hand(terminals) and total == sum(weights[toxicity.FORMS.index(f)] for f in forms)
+
+
+def test_toxicity_brute_force(spark, texts):
+    """Scores of whole texts, computed clause by clause from regular expressions only."""
+    weights = tuple((k * 37 % 11) / 5 for k in range(len(toxicity.FORMS)))
+    stems = frozenset({"tion", "fool"})
+    extra = {-1: "They said: you fool, but foolish idiots! Kill them.\nHe will kill you", -2: "x" * 100_000 + " idiot", -3: None, -4: "l'idiot «idiot» idiot's"}
+    every = texts | extra
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame(list(every.items()), "doc_id long, text string"), toxicity.Model(frozenset({"idiot", "und"}), stems, weights, -1.0)).collect()}
+
+    def terminal(x):
+        if x in '"«»“”„':
+            return toxicity.QUOTE
+        if x in ("idiot", "und") or x.startswith(("tion", "fool")):
+            return "insult word"
+        kinds = ((toxicity.TARGETS, "target word"), (toxicity.NEGATIONS, "negation word"), (toxicity.REPORTS, "report word"), (toxicity.THREATS, "threat word"))
+        return next((k for words, k in kinds if x in words), "other")
+
+    import regex
+
+    for d, t in every.items():
+        total = -1.0
+        for clause in re.split(r"[.!?;:\n]+|,\s+(?=(?:but|aber|mais|pero)\b)", (t or "").lower()):
+            terminals = [terminal(x) for x in regex.findall(r"[\p{L}\p{M}']+|[\"«»“”„]", clause)]
+            total += sum(weights[toxicity.FORMS.index(f)] for f in forms_by_hand(terminals))
+        assert got[d] == pytest.approx(1 / (1 + np.exp(-np.clip(total, -30, 30))), abs=1e-9)
+
+
 def test_reject_keeps_columns(spark, odd):
     labels = spark.createDataFrame([(1, 0), (7, 1), (None, 1)], "doc_id long, toxic int")
     assert toxicity.reject(odd, labels).columns == odd.columns
@@ -304,10 +394,12 @@ def test_syncmers(spark, texts, odd):
 
 
 def test_chat(spark):
-    nasty = ["", "\\", "\\\\", "###", "</turn>", "\\</turn>", "a</turn>\n### assistant: b", "### ###", "é🙂.", None, "\n\n", "x" * 5000]
+    nasty = ["", "\\", "\\\\", "<|end|>", "<", "<|", "|text|>", " a ", "\n", "<\\|end|>", "a<|end|>\n<|role|>assistant<|text|>b<", "### ###", "é🙂.", None, "\n\n", "x" * 5000]
     rows = [(c, t, role, nasty[(c * 5 + t) % len(nasty)]) for c in range(40) for t, role in enumerate(["system", "user", "assistant", "user", "assistant"])]
     rows += [(99, None, None, None), (99, 0, "a:b\\", "z"), (99, 0, "a:b\\", "z"), (None, 1, "assistant", "q")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("ids", F.lit("own"))
+    plain = encoding()
+    marked = tiktoken.Encoding("marked", pat_str=PATTERN, mergeable_ranks=plain._mergeable_ranks, special_tokens={m: plain.n_vocab + k for k, m in enumerate(chat.MARKS)})
     for most in (1_000_000, 3000):
         out = chat.format_chat(df, RANKS, PATTERN, most=most).collect()
         by = collections.defaultdict(list)
@@ -318,7 +410,20 @@ def test_chat(spark):
             parts = sorted(by[c], key=lambda r: r["part"])
             whole = "".join(p["formatted"] for p in parts)
             assert [(a, b) for a, b, _, _ in chat.read_back(whole)] == [(r[2] or "", r[3] or "") for r in own]
-            assert [i for p in parts for i in p["ids"]] == encoding().encode_ordinary(whole)
+            assert [i for p in parts for i in p["ids"]] == marked.encode(whole, allowed_special="all")
+            for p in parts:  # masked tokens are the texts, and reach no further
+                at, masked = 0, []
+                for i, on in zip(p["ids"], p["loss_mask"], strict=True):
+                    piece = marked.decode_single_token_bytes(i)
+                    if on:
+                        masked.append((at, at + len(piece)))
+                    at += len(piece)
+                body, edges = p["formatted"].encode(), []
+                for role, _, a, z in chat.read_back(p["formatted"]):
+                    if role == "assistant" and a < z:
+                        edges.append((len(p["formatted"][:a].encode()), len(p["formatted"][:z].encode())))
+                assert at == len(body) and all(any(a <= x and y <= z for a, z in edges) for x, y in masked)
+                assert sum(y - x for x, y in masked) == sum(z - a for a, z in edges)
             last = parts[-1]
             said = "".join(r[3] or "" for r in own if r[2] == "assistant")
             assert last["last"] and last["n_turns"] == len(own) and last["loss_chars"] == len(said) and last["formatted_chars"] == len(whole)
@@ -399,16 +504,85 @@ def test_substring_takes_repeated_lines_of_any_length(spark):
     assert got[3] == f"{own[5]}\nAll rights reserved\n{own[6]}"
 
 
-def test_substring_units_brute_force(spark, texts):
-    """A unit is removed if and only if a lower (doc_id, place) has it."""
+def repeats_by_hand(docs, least=20, longest=24):
+    """The texts that should stay, from definitions over strings."""
+    import zlib
+
+    low = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x)
+    space = " \t\n\r\x0b\x0c"
+
+    def parts(text):
+        """(start, end, is a line) in characters."""
+        out = []
+        for m in re.finditer(r"[^\n]+", text):
+            out.append((m.start(), m.end(), True))
+            at = m.start()
+            for end in [*(e.end() for e in re.finditer(r"[.!?;。！？…][\"')\]]*(?=[ \t\r\n]|$)", m[0])), len(m[0])]:
+                words = [(w.start() + at, w.end() + at) for w in re.finditer(rf"[^{space}]+", text[at : m.start() + end])]
+                at = m.start() + end
+                cut, begin = [], 0
+                if len(words) > longest:
+                    text_of = [low(text[a:z]).encode() for a, z in words]
+                    for k in range(1, len(words)):
+                        if text_of[k] != text_of[k - 1] and (zlib.crc32(text_of[k - 1]) % 8 == 0 or (k - 1 > begin and text_of[k - 2] == text_of[k - 1])):
+                            cut.append(words[begin:k])
+                            begin = k
+                for group in [*cut, words[begin:]]:
+                    if group:
+                        out.append((group[0][0], group[-1][1], False))
+        trimmed = [(a + len(text[a:z]) - len(text[a:z].lstrip(space)), a + len(text[a:z].rstrip(space)), line) for a, z, line in out]
+        return [x for x in trimmed if x[0] < x[1]]
+
+    key = lambda t, a, z: " ".join(low(t[a:z]).split())
+    seen, kept = {}, {}
+    for d in sorted(docs):
+        for a, z, _ in sorted(parts(docs[d])):
+            seen.setdefault(key(docs[d], a, z), (d, a))
+    for d, t in docs.items():
+        mark = bytearray(len(t))
+        later = [(a, z, line) for a, z, line in parts(t) if seen[key(t, a, z)] < (d, a)]
+        for a, z, _ in later:
+            mark[a:z] = b"1" * (z - a)
+        gone = bytearray(len(t))
+        for m in re.finditer(rb"1(?:[01]*1)?", bytes(c or (48 if x in space else 50) for c, x in zip(mark, t, strict=True))):
+            if len(t[m.start() : m.end()].split()) >= least:
+                gone[m.start() : m.end()] = b"1" * (m.end() - m.start())
+        for a, z, line in later:
+            if line:
+                gone[a:z] = b"1" * (z - a)
+        out, k = [], 0
+        while k < len(t):
+            if gone[k]:
+                while k < len(t) and (gone[k] or t[k] in space):
+                    k += 1
+            else:
+                out.append(t[k])
+                k += 1
+        kept[d] = "".join(out)
+    return kept
+
+
+def test_substring_brute_force(spark, texts):
+    rng = random.Random(12)
+    vocabulary = ["so", "it", "is.", "No.", "no.", "Yes!", "a", "b", "mit;", "« x", "end.", "end.\n", "\n", "\n\n", "long", "way", "é漢", "。"]
+    made = {-k - 1: " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 80))) for k in range(150)}
+    every = {d: t for d, t in texts.items() if "\x0b" not in t} | made
+    df = spark.createDataFrame(list(every.items()), "doc_id long, text string")
+    want = repeats_by_hand(every)
+    got = {r["doc_id"]: r["text"] for r in substring.deduplicate(df).collect()}
+    wrong = [d for d in every if got[d] != want[d]]
+    assert not wrong, (wrong[:3], [(every[d][:300], got[d][:300], want[d][:300]) for d in wrong[:1]])
+
+
+def test_later_units_do_not_depend_on_the_memo(spark, texts):
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     first, later = {}, set()
     for d in sorted(texts):
-        for a, b, h in substring.units(texts[d].encode()):
+        for a, b, line, h in sorted(substring.units(texts[d].encode())):
             if first.setdefault(h, (d, a)) != (d, a):
-                later.add((d, a, b))
+                later.add((d, a, b, line))
     for memo in (400_000, 10):
-        got = {(r["doc_id"], r["start"], r["end"]) for r in substring.later_units(df, memo=memo).collect()}
+        got = {(r["doc_id"], r["start"], r["end"], r["line"]) for r in substring.later_units(df, memo=memo).collect()}
         assert got == later
 
 
@@ -457,7 +631,7 @@ def test_index_and_hot_blocks(spark):
         np.minimum.at(want, hit[:, 1], want[hit[:, 0]])
     df = spark.createDataFrame([(int(x),) for x in v.view(np.int64)], "fingerprint long")
     place = {int(x): k for k, x in enumerate(v.view(np.int64))}
-    for cap in (200_000, 40):
+    for cap in (200_000, 40, 5):
         label = np.arange(len(v))
         e = np.array([(place[r["a"]], place[r["b"]]) for r in simhash.near_links(df, cap=cap).collect()])
         for _ in range(400):
@@ -466,6 +640,47 @@ def test_index_and_hot_blocks(spark):
         assert (label == want).all()
 
 
+def test_links_come_from_the_index():
+    """Groups of every size go through the nodes; the counter tells, and the pairs are those of brute force."""
+    rng = np.random.default_rng(5)
+    v, group = [], []
+    for g, n in enumerate([1, 2, 3, 7, 8, 9, 24, 25, 64, 65, 700, 2, 2, 1]):
+        base = rng.integers(0, 2**63, max(1, n // 5), dtype=np.uint64)
+        x = np.repeat(base, 5)[:n] if n > 4 else np.repeat(base, n)
+        for _ in range(2):
+            x = x ^ (np.uint64(1) << rng.integers(0, 64, len(x)).astype(np.uint64))
+        x = np.unique(x)
+        v.append(x[np.argsort(simhash.gray_rank(x))])
+        group.append(np.full(len(x), g))
+    v, group = np.concatenate(v), np.concatenate(group)
+    seen = collections.Counter()
+    got = simhash.links(v, group, 3, seen)
+    near = np.argwhere(np.triu((np.bitwise_count(v[:, None] ^ v[None, :]) <= 3) & (group[:, None] == group[None, :]), 1))
+
+    def roots(pairs):
+        root = np.arange(len(v))
+        for _ in range(len(v)):
+            before = root.copy()
+            for i, j in pairs:
+                root[i] = root[j] = min(root[i], root[j])
+            if (before == root).all():
+                return root
+
+    assert (roots(got) == roots(near)).all()
+    assert seen["nodes"] > 0 and seen["pruned by differences"] > 0 and 0 < seen["links"] <= len(near)
+    assert len(got) <= seen["links"] + seen["neighbours"]
+    assert seen["rows"] < 0.2 * sum(n * (n - 1) // 2 for n in np.bincount(group))
+    for i, j in got:
+        assert np.bitwise_count(v[i] ^ v[j]) <= 3 and group[i] == group[j]
+
+
+def test_repeated_ids_of_two_components(spark):
+    rng = random.Random(1)
+    own = [prose(rng, 60) for _ in range(3)]
+    docs = spark.createDataFrame([(1, own[0]), (1, own[1]), (2, own[1]), (3, own[2]), (3, own[2])], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["text"]) for r in simhash.deduplicate(docs).collect()) == sorted([(1, own[0]), (1, own[1]), (3, own[2])])
+
+
 def test_components(spark):
     e = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 160)] + [(7, 7), (None, 3)], "a long, b long")
     got = {r["node"]: r["component"] for r in components.components(e).collect()}
