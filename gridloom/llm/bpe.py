@@ -189,9 +189,7 @@ def encoder_of_ranks(path: str, pattern: str) -> Encoder:
 def encoder_of_file(path: str) -> Encoder:
     key = (path, "")
     if key not in _ENCODERS:
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _ENCODERS[key] = Encoder(tokenizer)
+        _ENCODERS[key] = Encoder(Tokenizer.from_file(path))
     return _ENCODERS[key]
 
 

@@ -2,17 +2,21 @@
 
 Lengths are integers up to the capacity, so what the plan depends on is a histogram of at most ``capacity``
 numbers, whatever the size of the corpus. On the driver, large lengths are rounded up within groups of equal
-cardinality, a linear program over configurations of the few rounded sizes is solved by column generation, its
-whole part is filled with the actual lengths, and what is left, small lengths included, goes best-fit into the
-room that remains. The plan is a table of runs: pieces of one length, by rank, to sequences of one make.
-The executors rank the pieces of a length and look their run up.
+cardinality, and a linear program over configurations of the few rounded sizes is solved by column generation. Its whole
+part is filled with actual lengths: every slot but the last takes the longest left of its group, and the last, as the
+others are shorter than planned, the longest that fits. What is left of the large ones is grouped anew, in finer groups,
+until nothing more comes of it. Small lengths, and the last few large ones, go best-fit into the room that remains.
+The plan is a table of runs: pieces of one length, by rank, to sequences of one make. The executors rank the pieces
+of a length and look their run up.
 """
 
 from __future__ import annotations
 
 import bisect
 import functools
+import logging
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +28,7 @@ from gridloom.llm.bpe import each_batch, encoder_of_file
 from gridloom.llm.common import checkpoint, with_fields
 
 CAPACITY = 2048
+_LOG = logging.getLogger(__name__)
 
 
 # ---- tokens
@@ -44,7 +49,8 @@ def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     """doc_id, piece, start, length, ids_crc32: a row for each piece of a document's ids and ``end``.
 
     Documents of up to ``capacity`` ids are one piece; of longer ones the first piece may be shorter, the others are
-    full. Null and empty texts are the one id ``end``. Repeated rows are packed as often as they occur.
+    full. Null and empty texts are the one id ``end``. Repeated rows are packed as often as they occur. Strings of the
+    tokenizer's special tokens in a text are these tokens, as the tokenizer has it. Other columns are left out.
     """
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     cut = each_batch(slim, "text", {"pieces": "array<struct<start:long,length:long,ids_crc32:long>>"}, functools.partial(_cut, path, capacity, end))
@@ -54,15 +60,20 @@ def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 # ---- the plan, on the driver
 
 
-def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 400) -> list[tuple[tuple[int, ...], float]]:
-    """(how many of each size, how often) of a fractional packing: column generation with knapsack pricing."""
+def configurations(sizes: list[int], demand: list[int], capacity: int) -> tuple[list[tuple[tuple[int, ...], float]], float]:
+    """(how many of each size, how often) of a fractional packing, and how far from 1 the best price of a further column is.
+
+    Column generation with knapsack pricing; at 0 the packing is optimal. More than 0 is left only where the simplex
+    method has stood still for 50 steps a size.
+    """
     g = len(sizes)
     basis = np.diag([float(capacity // s) for s in sizes])
     inverse = np.diag([1 / (capacity // s) for s in sizes])
     x = inverse @ np.array(demand, float)
-    for _ in range(rounds):
+    still = 0
+    while True:
         price = inverse.sum(axis=0)  # every sequence costs 1
-        best, took = np.zeros(capacity + 1), np.zeros((g, capacity + 1), np.int8)
+        best, took = np.zeros(capacity + 1), np.zeros((g, capacity + 1), np.int16)
         for k, s in enumerate(sizes):
             if price[k] <= 1e-12:
                 continue
@@ -72,7 +83,8 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
                 better = more > best[n * s :] + 1e-12
                 best[n * s :][better] = more[better]
                 took[k, n * s :][better] = n
-        if best[capacity] <= 1 + 1e-7:
+        gap = float(best[capacity]) - 1
+        if gap <= 1e-7:
             break
         column, room = np.zeros(g), capacity
         for k in range(g - 1, -1, -1):
@@ -81,7 +93,8 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
         step = inverse @ column
         ratio = np.where(step > 1e-9, x / np.where(step > 1e-9, step, 1), np.inf)
         out = int(np.argmin(ratio))
-        if not np.isfinite(ratio[out]):
+        still = still + 1 if ratio[out] * gap < 1e-9 else 0
+        if still > 50 * g or not np.isfinite(ratio[out]):
             break
         x = x - ratio[out] * step
         x[out] = ratio[out]
@@ -89,72 +102,90 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
         row = inverse[out] / step[out]
         inverse = inverse - np.outer(step, row)
         inverse[out] = row
-    return [(tuple(int(v) for v in basis[:, k]), float(x[k])) for k in range(g) if x[k] > 0]
-
-
-def _grouped(counts: dict[int, int], groups: int) -> list[list[list[int]]]:
-    """Runs [length, count], longest first, in groups of equal cardinality."""
-    total, out, room = sum(counts.values()), [], 0
-    sizes = [total * (k + 1) // groups - total * k // groups for k in range(groups)]
-    at = 0
-    for length in sorted(counts, reverse=True):
-        n = counts[length]
-        while n:
-            if not room:
-                while at < groups and not sizes[at]:
-                    at += 1
-                room, at = sizes[at], at + 1
-                out.append([])
-            take = min(n, room)
-            out[-1].append([length, take])
-            n, room = n - take, room - take
-    return out
+    return [(tuple(int(v) for v in basis[:, k]), float(x[k])) for k in range(g) if x[k] > 1e-9], max(gap, 0.0)
+
+
+def _grouped(counts: dict[int, int], groups: int) -> tuple[list[int], list[int]]:
+    """Greatest length and number of lengths of groups of equal cardinality, longest first; groups of one greatest length are one."""
+    total, at, sizes = sum(counts.values()), 0, {}
+    order = sorted(counts, reverse=True)
+    ends = np.cumsum([counts[n] for n in order])
+    for k in range(groups):
+        end = total * (k + 1) // groups
+        if end > at:
+            size = order[int(np.searchsorted(ends, at, side="right"))]
+            sizes[size] = sizes.get(size, 0) + end - at
+            at = end
+    return list(sizes), list(sizes.values())
+
+
+class _Left:
+    """Lengths that are not placed yet, and how many."""
+
+    def __init__(self, counts: dict[int, int]):
+        self.counts = dict(counts)
+        self.order = sorted(self.counts)
+
+    def longest(self, most: int, taken: Counter) -> int | None:
+        """The longest of at most ``most`` of which more than ``taken`` are left."""
+        k = bisect.bisect_right(self.order, most) - 1
+        while k >= 0 and self.counts[self.order[k]] <= taken[self.order[k]]:
+            k -= 1
+        return self.order[k] if k >= 0 else None
+
+    def take(self, length: int, n: int) -> None:
+        self.counts[length] -= n
+        if not self.counts[length]:
+            del self.counts[length]
+            self.order.pop(bisect.bisect_left(self.order, length))
+
+
+def _whole_part(left: _Left, groups: int, capacity: int) -> list[list]:
+    """[lengths, how often, room] of the sequences that the linear program fills as whole ones; they are taken from ``left``."""
+    sizes, demand = _grouped(left.counts, groups)
+    found, gap = configurations(sizes, demand, capacity)
+    _LOG.info("%d groups of %d lengths: %.2f sequences, %s", len(sizes), sum(demand), sum(x for _, x in found), "optimal" if gap <= 1e-7 else f"within {gap:.1e} of the optimum")
+    made = []
+    for many, often in sorted(found, key=lambda c: -sum(n * s for n, s in zip(c[0], sizes, strict=True))):
+        upto = [sizes[k] for k, n in enumerate(many) for _ in range(n)]
+        todo = int(often + 1e-9)
+        while todo:
+            taken, lengths, room = Counter(), [], capacity
+            for k, size in enumerate(upto):
+                length = left.longest(room if k == len(upto) - 1 else min(room, size), taken)
+                if length is None:
+                    break
+                taken[length] += 1
+                lengths.append(length)
+                room -= length
+            if len(lengths) < len(upto):
+                break
+            step = min([todo, *(left.counts[x] // n for x, n in taken.items())])
+            for x, n in taken.items():
+                left.take(x, n * step)
+            made.append([tuple(lengths), step, room])
+            todo -= step
+    return made
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = 32, large: int | None = None) -> list[tuple[tuple[int, ...], int]]:
     """(lengths of one sequence, how many such sequences), for a histogram length -> count.
 
-    Large are lengths over ``large`` (an eighth of the capacity). Empty for an empty histogram. Work and result depend on
-    the capacity and the number of groups, not on the counts.
+    Large are lengths over ``large`` (a quarter of the capacity). Empty for an empty histogram. Work depends on the
+    capacity and the number of groups, not on the counts.
     """
-    large = capacity // 8 if large is None else large
+    large = capacity // 4 if large is None else large
     if any(not 0 < n <= capacity for n in counts):
         raise ValueError("lengths must be 1 to capacity")
     classes: list[list] = [[(capacity,), counts[capacity], 0]] if counts.get(capacity) else []
     pool = {n: c for n, c in counts.items() if n <= large and n < capacity and c}
-    big = {n: c for n, c in counts.items() if large < n < capacity and c}
-    runs = _grouped(big, groups)
-    for r in runs:
-        r.reverse()  # pop() gives the longest
-    sizes = [r[-1][0] for r in runs]
-    if sizes:
-        for many, often in configurations(sizes, [sum(n for _, n in r) for r in runs], capacity):
-            slots = [k for k, n in enumerate(many) for _ in range(n)]
-            left = int(often + 1e-9)
-            left = min([left, *(sum(n for _, n in runs[k]) // many[k] for k in set(slots))])
-            while left and slots:
-                # each slot takes from its group in order; a step lasts until some group's run ends
-                step = min([left, *(runs[k][-1][1] // slots.count(k) for k in set(slots))])
-                if step:
-                    lengths = [runs[k][-1][0] for k in slots]
-                    for k in slots:
-                        runs[k][-1][1] -= step
-                else:  # one sequence over the end of a run
-                    step, lengths = 1, []
-                    for k in slots:
-                        while not runs[k][-1][1]:
-                            runs[k].pop()
-                        lengths.append(runs[k][-1][0])
-                        runs[k][-1][1] -= 1
-                for k in set(slots):
-                    while runs[k] and not runs[k][-1][1]:
-                        runs[k].pop()
-                classes.append([tuple(lengths), step, capacity - sum(lengths)])
-                left -= step
-    for r in runs:
-        for length, n in r:
-            if n:
-                pool[length] = pool.get(length, 0) + n
+    left = _Left({n: c for n, c in counts.items() if large < n < capacity and c})
+    while sum(left.counts.values()) > groups:
+        made = _whole_part(left, groups, capacity)
+        if not made:
+            break
+        classes += made
+    pool |= left.counts
     by_room: dict[int, list[list]] = {}
     for c in classes:
         by_room.setdefault(c[2], []).append(c)
@@ -194,8 +225,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = 32, lar
     return [(tuple(c[0]), c[1]) for c in [*done, *(c for r in by_room.values() for c in r)] if c[1]]
 
 
-def best_plan(counts: dict[int, int], capacity: int = CAPACITY, groups: tuple[int, ...] = (16, 32), least: tuple[float, ...] = (1 / 8, 1 / 4, 1 / 3, 1 / 2, 2 / 3)) -> list[tuple[tuple[int, ...], int]]:
-    """The plan of fewest sequences over some numbers of groups and least large lengths; the first of equals."""
+def best_plan(counts: dict[int, int], capacity: int = CAPACITY, groups: tuple[int, ...] = (32, 64), least: tuple[float, ...] = (1 / 4, 5 / 16)) -> list[tuple[tuple[int, ...], int]]:
+    """The plan of fewest sequences over some numbers of groups and least large lengths, all under a third; the first of equals."""
     plans = [plan(counts, capacity, g, int(capacity * x)) for g in groups for x in least]
     return min(plans, key=lambda p: sum(n for _, n in p))
 
@@ -219,19 +250,22 @@ def slots(classes: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]:
 # ---- the executors
 
 
-def pack(parts: DataFrame, capacity: int = CAPACITY, buckets: int = 64) -> DataFrame:
+def pack(parts: DataFrame, capacity: int = CAPACITY, most: int = 1_000_000) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows (doc_id, piece, start, length, ids_crc32).
 
-    The driver gets counts by length and bucket: ``capacity * buckets`` numbers at most. Ranks are numbered within a
-    length and a bucket of documents, so a length that most rows have is dealt over the buckets. No rows: no rows.
+    Ranks are numbered within a length and a bucket of documents; a length has a bucket for each ``most`` of its pieces,
+    so a length that most rows have is dealt over many tasks. The driver gets a count for each length, and then for each
+    length and bucket. No rows: no rows.
     """
-    rows = checkpoint(parts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int")))
-    found = rows.groupBy("length", "bucket").count().collect()
-    counts: dict[int, int] = {}
+    rows = checkpoint(parts)
+    counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
+    buckets = F.get(F.lit([max(1, -(-counts.get(n, 0) // most)) for n in range(capacity + 1)]), F.col("length").cast("int"))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), buckets).cast("int"))
     before: dict[tuple[int, int], int] = {}
-    for r in sorted(found, key=lambda r: (r["length"], r["bucket"])):
-        before[r["length"], r["bucket"]] = counts.get(r["length"], 0)
-        counts[r["length"]] = counts.get(r["length"], 0) + r["count"]
+    so_far: Counter[int] = Counter()
+    for r in sorted(rows.groupBy("length", "bucket").count().collect()):
+        before[r["length"], r["bucket"]] = so_far[r["length"]]
+        so_far[r["length"]] += r["count"]
     table = slots(best_plan(counts, capacity))
     own = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")
     ranked = rows.withColumn("rank", F.row_number().over(own)).select("doc_id", "piece", "start", "length", "ids_crc32", "bucket", "rank")
