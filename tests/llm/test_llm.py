@@ -432,6 +432,13 @@ def test_syncmers(spark, texts, odd):
         assert got[d]["fingerprint"] == syncmers.as_string(syncmers.sketch(syncmers.code_points(t)))
         assert got[d]["edited_fingerprint"] == syncmers.as_string(syncmers.sketch(syncmers.code_points(edited)))
     assert np.mean([r["near_edited"] > r["near_next"] for r in got.values()]) > 0.97
+    off = []
+    for i, d in enumerate(order):  # against all anchors, and against every chain
+        t, y = texts[d], texts[order[(i + 1) % len(order)]]
+        edited = t[: len(t) - len(t) // 2] + y[: len(t) // 2]
+        for other, near in ((edited, got[d]["near_edited"]), (y, got[d]["near_next"])):
+            off.append(abs(near - positional(t, other)))
+    assert np.mean(off) < 0.02 and max(off) < 0.2
     assert syncmers.with_next(odd).count() == 10 and syncmers.with_next(odd.limit(0)).count() == 0
     one = syncmers.with_next(odd.where("doc_id = 1")).first()
     assert one["near_next"] == 1.0
@@ -439,6 +446,51 @@ def test_syncmers(spark, texts, odd):
     assert len(twins) == 4 and len(set(twins)) == 1
 
 
+def positional(t, y):
+    """Share of all anchors that two texts have in the same order, without sketches."""
+    a, b = ({int(h) >> 24: int(p) for p, h in reversed(list(zip(*syncmers.anchors(syncmers.code_points(x)), strict=True)))} for x in (t, y))
+    if not a and not b:
+        return 1.0
+    pairs = sorted((a[h], b[h]) for h in a.keys() & b.keys())
+    longest = []
+    for x in pairs:
+        at = next((k for k, z in enumerate(longest) if z >= x[1]), len(longest))
+        longest[at : at + 1] = [x[1]]
+    return len(longest) / len(a.keys() | b.keys())
+
+
+def test_likeness_is_positional():
+    rng = random.Random(9)
+    for _ in range(200):
+        n = rng.randint(1, 9)
+        a, b = np.array(rng.sample(range(50), n)), np.array(rng.sample(range(50), n))
+        sets = [some for some in range(1 << n)]
+        best = 0
+        for some in sets:
+            pairs = sorted((int(a[k]), int(b[k])) for k in range(n) if some >> k & 1)
+            if all(p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False)):
+                best = max(best, len(pairs))
+        assert syncmers.chain(a, b) == best
+    words = [prose(rng, 40) for _ in range(2)]
+    sk = lambda t: syncmers.sketch(syncmers.code_points(t))
+    ahead, turned = words[0] + words[1], words[1] + words[0]
+    assert syncmers.likeness(sk(ahead), sk(ahead)) == 1.0
+    assert syncmers.likeness(sk(ahead), sk(turned)) < 0.7  # the same anchors, but two stretches exchanged
+
+
+def test_hot_and_null_ids_follow_each_other(spark):
+    rows = [(None, f"n{k % 7}") for k in range(40)] + [(5, f"t{k}") for k in range(40)] + [(k, None) for k in range(10, 14)] + [(-3, "z")]
+    out = syncmers.with_next(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    order = {r[0]: k for k, r in enumerate([(13,), (12,), (11,), (10,), (5,), (-3,), (None,)])}
+    assert len(out) == len(rows)
+    by = {}
+    for r in spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect():
+        by.setdefault(order[r["doc_id"]], []).append((r["h"], r["text"] or ""))
+    line = [t for k in sorted(by) for _, t in sorted(by[k])]
+    want = collections.Counter(hashlib.sha256((t[: len(t) - len(t) // 2] + y[: len(t) // 2]).encode()).hexdigest() for t, y in zip(line, [*line[1:], line[0]], strict=True))
+    assert collections.Counter(r["edited_sha256"] for r in out) == want
+
+
 # ---- 7
 
 
