@@ -1,8 +1,9 @@
 """Near-duplicate embeddings through a forest of random-projection trees.
 
-Equal vectors are one class from the start. Trees are grown on a bounded sample: a node splits at the median of the
-projections on a random direction, and vectors close to the split go to both sides (spill). All classes are routed
-through all trees. A leaf compares its classes in blocks, in double precision. A pair that shares several leaves counts in
+Equal vectors are one class from the start. Trees are grown on a sample that grows with the input up to a bound in
+bytes: a node splits at the median of the projections on a random direction, and vectors close to the split go to both
+sides (spill). Trees are as deep as the number of vectors asks, down to nodes of two sampled vectors; the nodes of one depth of
+a tree share their few directions, so a tree is a few numbers a node. All classes are routed through all trees. A leaf compares its classes in blocks, in double precision. A pair that shares several leaves counts in
 the first of them only, which both rows can tell from the leaves they carry, so no pair has to leave the task: a leaf
 sends a number of links for each class and a spanning forest of its links. Leaves that a dense group fills beyond
 ``cap`` are compared tile by tile in separate tasks, all tiles of them.
@@ -22,56 +23,53 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import checkpoint, with_fields
 from gridloom.llm.components import components
 
-#: Vectors that trees are grown on, at most.
-SAMPLE = 20_000
+#: Vectors that trees are grown on: this many, or one in ``ONE_IN`` of all if that is more, but no more than fit ``SAMPLE_BYTES``.
+SAMPLE, ONE_IN, SAMPLE_BYTES = 20_000, 1000, 64 << 20
+#: Directions that a node can choose from: a dense group may lie on one side of one as a whole.
+TRIES = 4
 TREES, LEAF, CAP, SEED, BLOCK = 6, 1000, 4000, 20240229, 1024
 
 
 class Tree:
-    """Arrays of nodes: direction, threshold and children of inner ones, leaf number of the others."""
+    """Arrays of nodes: which direction of its depth, threshold and children of inner ones, leaf number of the others."""
 
     def __init__(self, sample: np.ndarray, depth: int, spill: float, rng: np.random.Generator):
-        self.direction: list[np.ndarray | None] = []
-        self.at: list[float] = []
-        self.child: list[tuple[int, int]] = []
-        self.leaf: list[int] = []
-        self.leaves, self.spill = 0, spill
-        self._grow(sample, depth, rng)
-
-    def _grow(self, rows: np.ndarray, depth: int, rng: np.random.Generator) -> int:
-        me = len(self.at)
-        self.direction.append(None)
-        self.at.append(0.0)
-        self.child.append((-1, -1))
-        self.leaf.append(-1)
-        if depth and len(rows) >= 8:
-            for _ in range(4):  # a dense group may lie on one side of a direction as a whole
-                way = rng.standard_normal(rows.shape[1])
-                way /= np.linalg.norm(way)
-                p = rows @ way
-                cut = float(np.median(p))
-                left, right = rows[p <= cut + self.spill], rows[p > cut - self.spill]
-                if max(len(left), len(right)) <= 0.85 * len(rows):
-                    self.direction[me], self.at[me] = way, cut
-                    self.child[me] = (self._grow(left, depth - 1, rng), self._grow(right, depth - 1, rng))
-                    return me
-        self.leaf[me] = self.leaves
-        self.leaves += 1
-        return me
-
-    def route(self, x: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(leaf, rows) for unit vectors."""
-        stack = [(0, np.arange(len(x)))]
-        while stack:
-            node, rows = stack.pop()
-            if not len(rows):
-                continue
-            if self.leaf[node] >= 0:
-                yield self.leaf[node], rows
-                continue
-            p = x[rows] @ self.direction[node]
-            a, b = self.child[node]
-            stack += [(a, rows[p <= self.at[node] + self.spill]), (b, rows[p > self.at[node] - self.spill])]
+        ways = rng.standard_normal((depth, TRIES, sample.shape[1]))
+        self.ways = ways / np.linalg.norm(ways, axis=2, keepdims=True)
+        self.spill = spill
+        nodes: list[tuple[int, float, int, int]] = [(0, 0.0, -1, -1)]
+        level = [(0, np.arange(len(sample)))]
+        for way in self.ways:
+            p, below = sample @ way.T, []
+            for me, rows in level:
+                for k in range(TRIES if len(rows) > 1 else 0):
+                    q = p[rows, k]
+                    cut = float(np.median(q))
+                    left, right = rows[q <= cut + spill], rows[q > cut - spill]
+                    most = max(len(left), len(right))
+                    if most <= 0.85 * len(rows) or (len(rows) < 8 and most < len(rows)):
+                        nodes[me] = (k, cut, len(nodes), len(nodes) + 1)
+                        below += [(len(nodes), left), (len(nodes) + 1, right)]
+                        nodes += [(0, 0.0, -1, -1)] * 2
+                        break
+            level = below
+        way_, at, left_, right_ = zip(*nodes, strict=True)
+        self.way, self.at, self.left, self.right = np.array(way_, np.int8), np.array(at), np.array(left_, np.int32), np.array(right_, np.int32)
+        self.leaf = np.where(self.left < 0, np.cumsum(self.left < 0) - 1, -1).astype(np.int32)
+        self.leaves = int((self.left < 0).sum())
+
+    def route(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(leaves, rows) of unit vectors, a depth at a time."""
+        rows, node = np.arange(len(x)), np.zeros(len(x), np.int32)
+        for way in [*self.ways, None]:
+            ends = self.leaf[node] >= 0
+            yield self.leaf[node[ends]], rows[ends]
+            rows, node = rows[~ends], node[~ends]
+            if way is None or not len(rows):
+                return
+            p = (x @ way.T)[rows, self.way[node]] - self.at[node]
+            a, b = p <= self.spill, p > -self.spill
+            rows, node = np.concatenate([rows[a], rows[b]]), np.concatenate([self.left[node[a]], self.right[node[b]]])
 
 
 def grow(sample: np.ndarray, n: int, least: float, trees: int = TREES, leaf: int = LEAF, seed: int = SEED) -> list[Tree]:
@@ -98,8 +96,8 @@ def _route(trees: list[Tree], d: int, batches: Iterator[pa.RecordBatch]) -> Iter
         leaves: list[list[int]] = [[] for _ in range(len(x))]
         for t, tree in enumerate(trees):
             for leaf, rows in tree.route(x):
-                for r in rows.tolist():
-                    leaves[r].append(int(base[t] + leaf))
+                for r, k in zip(rows.tolist(), (leaf + base[t]).tolist(), strict=True):
+                    leaves[r].append(k)
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([sorted(v) for v in leaves], pa.list_(pa.int32()))], names=["class", "size", "embedding", "leaves"])
 
 
@@ -172,6 +170,7 @@ def _tile(held: list[pa.RecordBatch], key: tuple, d: int, least: float) -> Itera
 def _linked(classes: DataFrame, d: int, least: float, trees: int, leaf: int, cap: int, sample: int) -> DataFrame:
     """(a, b, links) of classes (class, size, embedding) of one dimension: numbers of links (b null) and a forest."""
     n = classes.count()
+    sample = min(max(sample, n // ONE_IN), SAMPLE_BYTES // (8 * d))
     some = classes.select("embedding", F.xxhash64("embedding").alias("h")).orderBy("h").limit(sample).select("embedding").toArrow()
     grown = grow(_unit(some.column(0).combine_chunks(), d), n, least, trees, leaf)
     routed = classes.mapInArrow(functools.partial(_route, grown, d), with_fields(classes.schema, {"leaves": "array<int>"}))

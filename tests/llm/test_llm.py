@@ -552,9 +552,43 @@ def test_forest(spark):
         assert (n <= hit.sum(1)).all() and n.sum() >= 0.98 * hit.sum()
         assert all(got[b[0]]["n_links"] == 0 for b in bad)
         assert all(got[k]["component_id"] <= k and got[k]["kept"] == (got[k]["component_id"] == k) for k in range(len(near)))
+        if (n == hit.sum(1)).all():  # every link found, so the components are those of brute force
+            exact = True
+            assert all(got[k]["component_id"] == c for k, c in enumerate(smallest_reachable(hit)))
+    assert exact
     assert len(got) == len(rows) + len(bad) and forest.near_duplicates(df.limit(0)).count() == 0
 
 
+def smallest_reachable(hit):
+    c = np.arange(len(hit))
+    while True:
+        now = np.minimum(c, np.where(hit, c[None, :], len(hit)).min(1))
+        if (now == c).all():
+            return c.tolist()
+        c = now
+
+
+def test_forest_recall(spark):
+    """Pairs planted just over the threshold are found by trees of few and of many leaves; nothing below it is."""
+    rng = np.random.default_rng(7)
+    a = rng.normal(size=(4000, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    side = rng.normal(size=a.shape)
+    side -= (side * a).sum(1)[:, None] * a
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    c = np.where(np.arange(4000) % 2 == 0, 0.951, np.where(np.arange(4000) % 4 == 1, 0.97, 0.948))[:, None]
+    b = c * a + np.sqrt(1 - c * c) * side
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(np.concatenate([a, b]))], "vec_id long, embedding array<double>")
+    unit = np.concatenate([a, b])
+    hit = unit @ unit.T >= 0.95
+    np.fill_diagonal(hit, False)
+    for leaf, least in ((1000, 0.99), (10, 0.95)):
+        got = {r["vec_id"]: r for r in forest.near_duplicates(df, leaf=leaf).collect()}
+        n = np.array([got[k]["n_links"] for k in range(8000)])
+        assert (n <= hit.sum(1)).all() and n.sum() >= least * hit.sum(), (leaf, n.sum() / hit.sum())
+        print("recall", leaf, n.sum() / hit.sum())
+
+
 def test_forest_repeated_ids_and_extreme_components(spark):
     rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 3.0]), (3, [1e200, 0.0]), (4, [-1e-200, 0.0]), (4, [-1.0, 0.0]), (5, [0.0, -1.0])]
     got = sorted(tuple(r) for r in forest.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
