@@ -181,16 +181,16 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     text's XXH64, then text, null ids come last, in that order too, so rows of one id are dealt over many tasks. Null texts
     are empty. Row for row; no rows give no rows; one row follows itself. Other columns are left out.
 
-    Texts move once. A sort of ids and hashes alone gives the first row of each range; ranges become parts, found by
-    binary search, and only the first row of each part goes, as well, to the part before.
+    Texts move once. A sort of ids and hashes alone gives the first row of each range; a range is a task of its own, found
+    by binary search, and only the first row of each part goes, as well, to the part before.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     order = [F.col("doc_id").desc_nulls_last(), F.col("text_hash")]
-    ids = rows.select("doc_id", "text_hash").repartitionByRange(4 * n, *order).sortWithinPartitions(*order)
+    ids = rows.select("doc_id", "text_hash").repartitionByRange(n, *order).sortWithinPartitions(*order)
     found = ids.mapInArrow(_heads, "doc_id long, text_hash long").toArrow().combine_chunks()  # a row a partition
     heads = np.unique(_order_keys(*(found.column(k).combine_chunks() for k in (0, 1)))) if found.num_rows else np.zeros(1, "S17")
-    sent = rows.mapInArrow(functools.partial(_deal, heads), "part long, context long, doc_id long, text_hash long, text string").repartition(n, "part")
+    sent = rows.mapInArrow(functools.partial(_deal, heads), "part long, context long, doc_id long, text_hash long, text string").repartitionById(n, F.col("part").cast("int"))
     sent = sent.sortWithinPartitions("part", "context", *order, "text").select("part", "context", "doc_id", "text")
     return sent.mapInArrow(_pairs, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
