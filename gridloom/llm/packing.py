@@ -253,13 +253,13 @@ def slots(classes: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]:
 def pack(parts: DataFrame, capacity: int = CAPACITY, most: int = 1_000_000) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows (doc_id, piece, start, length, ids_crc32).
 
-    Ranks are numbered within a length and a bucket of documents; a length has a bucket for each ``most`` of its pieces,
-    so a length that most rows have is dealt over many tasks. The driver gets a count for each length, and then for each
+    Ranks are numbered within a length and a bucket of documents; a length has 64 buckets, or one for each ``most`` of its
+    pieces if that is more, so a length that most rows have is dealt over many tasks. The driver gets a count for each length, and then for each
     length and bucket. No rows: no rows.
     """
     rows = checkpoint(parts)
     counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
-    buckets = F.get(F.lit([max(1, -(-counts.get(n, 0) // most)) for n in range(capacity + 1)]), F.col("length").cast("int"))
+    buckets = F.get(F.lit([max(64, -(-counts.get(n, 0) // most)) for n in range(capacity + 1)]), F.col("length").cast("int"))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), buckets).cast("int"))
     before: dict[tuple[int, int], int] = {}
     so_far: Counter[int] = Counter()
