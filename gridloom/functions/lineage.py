@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder that spark.checkpoint.dir names; in /tmp/checkpoints only where none is named."""
+    """A checkpoint in the folder that spark.checkpoint.dir names; a local session without one, as in tests, gets a temporary folder."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints")
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints"))
     return df.checkpoint(eager=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -68,8 +69,11 @@ def score_columns(df: DataFrame, ids: DataFrame, pattern: str, columns: list[str
     both = F.explode(F.when(F.coalesce("d", "e").isNull(), F.array(F.lit(None).cast("string"))).otherwise(F.filter(F.array("d", "e"), lambda v: v.isNotNull())))
     counts = rows.groupBy("ordinal", "column").agg(F.count("d").alias("direct_matches"), F.count("e").alias("extracted_matches"))
     found = rows.select("ordinal", both.alias("id")).where("id is not null").distinct()
-    rank = F.row_number().over(Window.partitionBy("ordinal").orderBy("id"))
-    found = found.withColumn("r", rank).groupBy("ordinal").agg(F.count("*").alias("unique_matched_ids"), F.array_sort(F.collect_list(F.when(F.col("r") <= 5, F.col("id")))).alias("sample_ids"))
+    # the least five of each of many buckets, then the least five of those
+    least = F.row_number().over(Window.partitionBy("ordinal", F.pmod(F.xxhash64("id"), F.lit(256))).orderBy("id"))
+    found = found.withColumn("in_bucket", least)
+    rank = F.row_number().over(Window.partitionBy("ordinal", F.col("in_bucket") <= 5, F.when(F.col("in_bucket") > 5, F.xxhash64("id"))).orderBy("id"))
+    found = found.withColumn("r", F.when(F.col("in_bucket") <= 5, rank)).groupBy("ordinal").agg(F.count("*").alias("unique_matched_ids"), F.array_sort(F.collect_list(F.when(F.col("r") <= 5, F.col("id")))).alias("sample_ids"))
     out = counts.join(found, "ordinal", "left")
     return out.select("ordinal", "column", "direct_matches", "extracted_matches", F.coalesce("unique_matched_ids", F.lit(0)).alias("unique_matched_ids"), F.coalesce("sample_ids", F.array().cast("array<string>")).alias("sample_ids"))
 
@@ -87,26 +91,25 @@ def join_suffixed(a: DataFrame, b: DataFrame, key: str, suffixes: tuple[str, str
     return named(a, suffixes[0]).join(named(b, suffixes[1]), key)
 
 
-def keep_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key in an explicit order."""
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__n", first).where("__n = 1").drop("__n")
+def keep_one(df: DataFrame, keys: list[str], best: Callable[[Column, Column], Column], by: list[str]) -> DataFrame:
+    """The row of each key that ``best`` (F.max_by or F.min_by) finds in the order of ``by``, nulls first. Tasks combine before the shuffle."""
+    row = best(F.struct(*df.columns), F.struct(*[x for c in by for x in (F.col(c).isNotNull(), F.col(c))]))
+    return df.groupBy(*keys).agg(row.alias("__row")).select(*[F.col("__row")[c].alias(c) for c in df.columns])
 
 
 def keep_last(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    return keep_one(df, keys, [F.col(seq).desc()])
+    return keep_one(df, keys, F.max_by, [seq])
 
 
 def keep_first(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    return keep_one(df, keys, [F.col(seq).asc()])
+    return keep_one(df, keys, F.min_by, [seq])
 
 
 def upsert(master: DataFrame, parts: DataFrame, keys: list[str], seq: str | None = None) -> DataFrame:
     """Rows of ``parts`` over those of ``master`` by key; among parts the last by ``seq``."""
     m = master.withColumn("__p", F.lit(0))
     p = parts.withColumn("__p", F.lit(1))
-    order = [F.col("__p").desc(), *([F.col(seq).desc()] if seq else [])]
-    return keep_one(m.unionByName(p), keys, order).drop("__p")
+    return keep_one(m.unionByName(p), keys, F.max_by, ["__p", *([seq] if seq else [])]).drop("__p")
 
 
 def download_status(returned: Column, exists: Column) -> Column:

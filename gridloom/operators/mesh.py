@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.functions.lineage import checkpoint
+from gridloom.operators.components import components
 
 XYZ = ["x", "y", "z"]
 
@@ -57,7 +57,8 @@ def normalize_sequence(vertices: DataFrame, key: str = "mesh", scale: float = 0.
         x = x.join(one, [key, "frame"])
     else:
         x = x.join(one, key)
-    return x.withColumns({a: (F.col(a) - F.col(f"m{a}")) * 2 * scale / F.col("side") for a in XYZ}).select(*vertices.columns)
+    by = F.when(F.col("side") > 0, 2 * scale / F.nullif(F.col("side"), F.lit(0.0))).otherwise(1.0)  # a mesh of one place stays as large
+    return x.withColumns({a: (F.col(a) - F.col(f"m{a}")) * by for a in XYZ}).select(*vertices.columns)
 
 
 def affine(rotation: list[list[float]], shift: list[float]) -> dict[str, Column]:
@@ -97,21 +98,12 @@ def dual_edges(faces: DataFrame, key: str = "mesh") -> DataFrame:
     return x.where("src is not null and src <> dst").select(key, "src", "dst").distinct()
 
 
-def face_components(faces: DataFrame, key: str = "mesh", rounds: int = 60) -> DataFrame:
-    """(mesh, fid, component): the least fid reachable over shared edges. Labels halve their way by pointer jumping."""
-    pairs = dual_edges(faces, key)
-    both = checkpoint(pairs.union(pairs.select(key, F.col("dst").alias("src"), F.col("src").alias("dst"))))
-    label = checkpoint(faces.select(key, "fid", F.col("fid").alias("component")))
-    for _ in range(rounds):
-        near = both.join(label.select(key, F.col("fid").alias("dst"), "component"), [key, "dst"]).groupBy(key, F.col("src").alias("fid")).agg(F.min("component").alias("c"))
-        new = label.join(near, [key, "fid"], "left").select(key, "fid", F.least("component", F.coalesce("c", "component")).alias("component"), F.col("component").alias("old"))
-        up = new.select(key, F.col("fid").alias("component"), F.col("component").alias("upper"))
-        new = checkpoint(new.join(up, [key, "component"]).select(key, "fid", F.least("component", "upper").alias("component"), "old"))
-        done = new.where("component <> old").isEmpty()
-        label = new.select(key, "fid", "component")
-        if done:
-            return label
-    raise RuntimeError("components did not settle")
+def face_components(faces: DataFrame, key: str = "mesh") -> DataFrame:
+    """(mesh, fid, component): the least fid reachable over shared edges; a face without neighbours is its own."""
+    node = lambda c: F.struct(F.col(key).alias("k"), F.col(c).alias("f"))
+    found = components(dual_edges(faces, key).select(node("src").alias("a"), node("dst").alias("b")))
+    found = found.select(F.col("node.k").alias(key), F.col("node.f").alias("fid"), F.col("component.f").alias("component"))
+    return faces.select(key, "fid").join(found, [key, "fid"], "left").withColumn("component", F.coalesce("component", "fid"))
 
 
 def vertex_degree(vertices: DataFrame, faces: DataFrame, key: str = "mesh") -> DataFrame:
@@ -195,9 +187,10 @@ def sample_by_weight(rows: DataFrame, draws: DataFrame, weight: str, order: str,
     """Each draw (mesh, draw, u) with the row whose share of the running weight holds u: an inverse distribution function.
 
     Rows and draws are merged into one order and the draw takes the next row's, so there is no range join.
+    Where the weights of a mesh sum to 0 no row can be drawn: picked is null.
     """
     w = Window.partitionBy(key)
-    x = rows.withColumn("hi", F.sum(weight).over(w.orderBy(order)) / F.sum(weight).over(w)).select(key, "hi", F.col(order).cast("long").alias("picked"), F.lit(None).cast("long").alias("draw"))
+    x = rows.withColumn("hi", F.sum(weight).over(w.orderBy(order)) / F.nullif(F.sum(weight).over(w), F.lit(0))).select(key, "hi", F.col(order).cast("long").alias("picked"), F.lit(None).cast("long").alias("draw"))
     y = draws.select(key, F.col("u").alias("hi"), F.lit(None).cast("long").alias("picked"), F.col("draw").cast("long").alias("draw"))
     # a draw comes before a row of the same share
     nxt = F.first("picked", ignorenulls=True).over(w.orderBy("hi", F.col("draw").isNull()).rowsBetween(0, Window.unboundedFollowing))

@@ -25,6 +25,15 @@ def positions(df: DataFrame, order: list[Column], name: str = "rn0") -> DataFram
     return placed.join(F.broadcast(starts), "__p").withColumn(name, (F.col("__s") + within).cast("long")).drop("__p", "__m", "__s")
 
 
+def ranks(df: DataFrame, keys: list[str], order: list[Column], name: str = "rank") -> DataFrame:
+    """0-based position of each row within its keys; the order must be total within them. A key of any size is dealt over many tasks."""
+    placed = positions(df, [*(F.col(k) for k in keys), *order], "__at")
+    first = placed.groupBy(*keys).agg(F.min("__at").alias("__first"))
+    same = [F.col(f"p.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]
+    x = placed.alias("p").join(first.alias("f"), same)
+    return x.select(*[F.col(f"p.{c}") for c in df.columns], (F.col("p.__at") - F.col("f.__first")).alias(name))
+
+
 def chunk_floor(rn0: Column, n: Column, k: int) -> Column:
     """Chunk of position rn0 where chunk i is [n*i//k, n*(i+1)//k)."""
     return F.floor(((rn0 + 1) * k - 1) / n).cast("long")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.arrays import floor_div, floor_mod, let, pack
+from gridloom.operators import sharding
 
 XYZ = ["x", "y", "z"]
 
@@ -127,7 +128,7 @@ def concat_features(a: DataFrame, b: DataFrame, feature: str) -> DataFrame:
 def block_rank(voxels: DataFrame, k: int, tie: str = "row_id") -> DataFrame:
     """Adds ``rank`` within the item: blocks of k^3 in order, then places in the block."""
     order = [floor_div(F.col(a), k) for a in XYZ] + [floor_mod(F.col(a), k) for a in XYZ] + [F.col(tie)]
-    return voxels.withColumn("rank", (F.row_number().over(Window.partitionBy("b").orderBy(*order)) - 1).cast("long"))
+    return sharding.ranks(voxels, ["b"], order)
 
 
 def group_norm(voxels: DataFrame, feature: str, groups: int, eps: float = 1e-5) -> DataFrame:

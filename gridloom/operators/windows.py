@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.arrays import floor_div, let, z_order
+from gridloom.operators import sharding
 from gridloom.operators.voxels import XYZ
 
 
@@ -67,20 +68,25 @@ def serial_windows(voxels: DataFrame, code: Column, window: int, shift: int = 0,
     """(b, window, slot, rank, row_id, owned): windows of equal length over the serial order of each item, wrapping around.
 
     An item of no more than ``window`` rows is one window of its own length. ``owned`` marks the window in which a row's
-    result counts; each row is owned once.
+    result counts; each row is owned once. A row's few windows are found by arithmetic, so the work is linear in the rows.
     """
-    w = Window.partitionBy("b")
-    x = voxels.withColumn("__c", code)
-    x = x.withColumn("rank", (F.row_number().over(w.orderBy("__c", tie)) - 1).cast("long")).withColumn("n", F.count("*").over(w))
-    k = F.ceil(F.col("n") / window)
-    x = x.withColumn("k", k)
+    x = sharding.ranks(voxels.withColumn("__c", code), ["b"], [F.col("__c"), F.col(tie)])
+    sizes = voxels.groupBy("b").agg(F.count("*").alias("n")).withColumn("k", F.ceil(F.col("n") / window))
+    x = x.join(sizes, "b")
     size = F.col("n") / F.col("k")
 
     def begin(i: Column) -> Column:
         return F.when(F.col("k") == 1, F.lit(0)).otherwise(F.floor((i + 0.5) * size + shift - 0.5 * window)).cast("long")
 
     length = F.when(F.col("k") == 1, F.col("n")).otherwise(F.lit(window).cast("long"))
-    every = F.transform(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda i: F.struct(i.alias("window"), F.pmod(F.col("rank") - begin(i), F.col("n")).alias("slot"), begin(i).alias("begin")))
+    # A place is in window i if begin(i) is in (place - window, place]; of a row the places are rank and its turns around the item
+    near = lambda place: F.floor((place - shift + 0.5 * window) / size - 0.5).cast("long")
+    lo = lambda place: F.greatest(F.lit(0).cast("long"), near(place - window) - 1)
+    hi = lambda place: F.least(F.col("k") - 1, near(place) + 1)
+    reach = F.ceil((F.lit(abs(shift) + window) / F.col("n"))).cast("long")
+    turn = F.transform(F.sequence(-reach, reach), lambda t: F.col("rank") + t * F.col("n"))
+    windows = F.array_distinct(F.flatten(F.transform(turn, lambda p: F.when(lo(p) <= hi(p), F.sequence(lo(p), hi(p))).otherwise(F.array().cast("array<bigint>")))))
+    every = F.transform(F.when(F.col("k") == 1, F.array(F.lit(0).cast("long"))).otherwise(windows), lambda i: F.struct(i.alias("window"), F.pmod(F.col("rank") - begin(i), F.col("n")).alias("slot"), begin(i).alias("begin")))
     x = x.withColumn("e", F.explode(F.filter(every, lambda e: e["slot"] < length))).select("b", "row_id", "rank", "n", "k", F.col("e.window").alias("window"), "e.slot", "e.begin")
     place = F.col("begin") + F.col("slot")
     a = F.floor(F.col("window") * size + shift)

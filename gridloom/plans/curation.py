@@ -94,11 +94,11 @@ def join_anti_pending(spark: SparkSession, sf: str) -> DataFrame:
     return C.pending(t.documents.select("doc_id", "lang"), t.labels, ["doc_id"])
 
 
-@query("""WITH s AS (SELECT doc_id, sha1(trim(text)) AS sha256, lang AS name FROM documents WHERE doc_id % 2 = 0), t AS (SELECT doc_id, sha1(trim(text)) AS sha256, source AS name FROM documents)
+@query("""WITH s AS (SELECT doc_id, sha1(trim(text)) AS sha256, lang AS name FROM documents), t AS (SELECT doc_id, sha1(trim(text)) AS sha256, source AS name FROM documents)
 SELECT s.sha256, s.doc_id AS doc_id_source, t.doc_id AS doc_id_target, s.name AS name_source, t.name AS name_target FROM s JOIN t USING (sha256)""")
 def join_suffixed(spark: SparkSession, sf: str) -> DataFrame:
     d = Tables(spark, sf).documents.withColumn("sha256", F.sha1(F.trim("text")))
-    return C.join_suffixed(d.where("doc_id % 2 = 0").select("doc_id", "sha256", F.col("lang").alias("name")), d.select("doc_id", "sha256", F.col("source").alias("name")), "sha256")
+    return C.join_suffixed(d.select("doc_id", "sha256", F.col("lang").alias("name")), d.select("doc_id", "sha256", F.col("source").alias("name")), "sha256")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE (l_partkey, l_suppkey) IN (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45)""")
@@ -118,12 +118,12 @@ def join_status_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return C.status_rows(returned, meta, "k").select("event_id", "doc_id", "lang", status.alias("status"))
 
 
-@query("""WITH ids AS (SELECT DISTINCT item_id::VARCHAR AS id FROM benchmark), m AS (SELECT page_id, 'url' AS c, nullif(regexp_extract(url, '([0-9]+)', 1), '') AS i FROM pages UNION ALL SELECT page_id, 'title', nullif(regexp_extract(substr(html, 1, 400), 'track.([0-9]+)', 1), '') FROM pages)
+@query("""WITH ids AS (SELECT DISTINCT item_id::VARCHAR AS id FROM benchmark), m AS (SELECT page_id, 'url' AS c, nullif(regexp_extract(url, '([0-9]+)', 1), '') AS i FROM pages UNION ALL SELECT page_id, 'title', nullif(regexp_extract(html, 'track.([0-9]+)', 1), '') FROM pages)
 SELECT page_id, i AS matched_id, c AS matched_column, 'number' AS matched_type FROM m WHERE i IN (SELECT id FROM ids)""")
 def join_match_columns(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     wanted = C.id_set(t.benchmark, "item_id")
-    p = t.pages.select("page_id", ids.first_match(F.col("url"), "([0-9]+)").alias("url"), ids.first_match(F.substring("html", 1, 400), "track.([0-9]+)").alias("title"))
+    p = t.pages.select("page_id", ids.first_match(F.col("url"), "([0-9]+)").alias("url"), ids.first_match(F.col("html"), "track.([0-9]+)").alias("title"))
     return C.match_columns(p, wanted, "([0-9]+)", "number").select("page_id", "matched_id", "matched_column", "matched_type")
 
 
@@ -168,10 +168,10 @@ def upsert_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
     return C.upsert(master, e.where("event_id % 10 >= 7"), ["user_id"], "event_id").select("user_id", "event_type")
 
 
-@query("SELECT lang FROM documents WHERE doc_id % 3 = 0 INTERSECT SELECT lang FROM documents WHERE n_chars > 3000")
+@query("SELECT lang FROM documents WHERE n_chars <= 3000 INTERSECT SELECT lang FROM documents WHERE n_chars > 3000")
 def set_intersect(spark: SparkSession, sf: str) -> DataFrame:
     d = Tables(spark, sf).documents
-    return d.where("doc_id % 3 = 0").select("lang").intersect(d.where("n_chars > 3000").select("lang"))
+    return d.where("n_chars <= 3000").select("lang").intersect(d.where("n_chars > 3000").select("lang"))
 
 
 @query("SELECT l_partkey AS id FROM lineitem WHERE l_quantity > 45 UNION SELECT p_partkey FROM part WHERE p_size < 5")

@@ -40,9 +40,9 @@ PLACES = VOXELS + """, vol AS (SELECT b, x, y, z, min(row_id) AS row_id, count(*
 #: Events as frames of objects, with gaps.
 FRAMES = """frames AS (SELECT user_id AS object, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS frame, CASE WHEN event_id % 17 = 0 THEN NULL ELSE value / 1000 END AS rms,
   event_type AS sig, event_id FROM events)"""
-#: Lineitem as triangles of a few meshes.
-MESHES = """faces AS (SELECT l_suppkey % 5 AS mesh, ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS fid, l_orderkey % 97 AS a, l_partkey % 97 AS b, l_suppkey % 97 AS c FROM lineitem WHERE l_linenumber <= 3),
-verts AS (SELECT m AS mesh, v AS vid, ((v * 37 + m * 11) % 101)::DOUBLE AS x, ((v * 53 + m) % 89)::DOUBLE AS y, ((v * 71) % 83)::DOUBLE AS z FROM range(5) a(m), range(97) b(v))"""
+#: Lineitem as triangles of one mesh a supplier, with 97 vertices each.
+MESHES = """faces AS (SELECT l_suppkey AS mesh, ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS fid, l_orderkey % 97 AS a, l_partkey % 97 AS b, (l_orderkey // 97 + l_linenumber * 13) % 97 AS c FROM lineitem),
+verts AS (SELECT m AS mesh, v AS vid, ((v * 37 + m * 11) % 101)::DOUBLE AS x, ((v * 53 + m) % 89)::DOUBLE AS y, ((v * 71) % 83)::DOUBLE AS z FROM (SELECT s_suppkey AS m FROM supplier) a, range(97) b(v))"""
 
 
 def voxels(t: Tables) -> DataFrame:
@@ -64,15 +64,17 @@ def frames(t: Tables) -> DataFrame:
     return t.events.select(F.col("user_id").alias("object"), n.alias("frame"), F.when(F.col("event_id") % 17 != 0, F.col("value") / 1000).alias("rms"), F.col("event_type").alias("sig"), "event_id")
 
 
-def faces(t: Tables, whole: bool = False) -> DataFrame:
-    """The faces of MESHES, lines 1 to 3 of each order; with ``whole`` those of all lines."""
+def faces(t: Tables) -> DataFrame:
+    """The faces of MESHES: every line of every order."""
     col = F.col
-    return (t.lineitem if whole else t.lineitem.where("l_linenumber <= 3")).select(
-        (col("l_suppkey") % 5).alias("mesh"), (((col("l_orderkey") * 10 + col("l_linenumber")) * 100000 + col("l_partkey")) * 10000 + col("l_suppkey")).alias("fid"), (col("l_orderkey") % 97).alias("a"), (col("l_partkey") % 97).alias("b"), (col("l_suppkey") % 97).alias("c")
+    c = (F.floor(col("l_orderkey") / 97) + col("l_linenumber") * 13) % 97
+    return t.lineitem.select(
+        col("l_suppkey").cast("long").alias("mesh"), (((col("l_orderkey") * 10 + col("l_linenumber")) * 100000 + col("l_partkey")) * 10000 + col("l_suppkey")).alias("fid"), (col("l_orderkey") % 97).alias("a"), (col("l_partkey") % 97).alias("b"), c.cast("long").alias("c")
     )
 
 
-def vertices(spark: SparkSession) -> DataFrame:
+def vertices(t: Tables) -> DataFrame:
+    """The vertices of MESHES: 97 for each supplier."""
     m, v = F.col("mesh"), F.col("vid")
-    grid = spark.range(5).select(F.col("id").alias("mesh"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(96).cast("long"))).alias("vid"))
+    grid = t.supplier.select(F.col("s_suppkey").cast("long").alias("mesh"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(96).cast("long"))).alias("vid"))
     return grid.select("mesh", "vid", ((v * 37 + m * 11) % 101).cast("double").alias("x"), ((v * 53 + m) % 89).cast("double").alias("y"), ((v * 71) % 83).cast("double").alias("z"))

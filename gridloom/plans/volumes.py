@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import arrays as A
 from gridloom.operators import attention as T
+from gridloom.operators import sharding
 from gridloom.operators import voxels as V
 from gridloom.operators import windows as W
 from gridloom.plans.registry import PLACES, VOXELS, Tables, places, query, voxels
@@ -79,10 +80,10 @@ def voxel_by_place(spark: SparkSession, sf: str) -> DataFrame:
     return V.by_place(p, p.where("row_id % 2 = 0"), ["value"], lambda a, c: a * 10 + c).select("b", "x", "y", "z", "value")
 
 
-@query(f"WITH {VOXELS} SELECT row_id, b, f0 FROM vox WHERE b < 2 UNION ALL SELECT row_id, b + 2, f0 FROM vox WHERE b < 2 AND f0 > 25")
+@query(f"WITH {VOXELS} SELECT row_id, b, f0 FROM vox UNION ALL SELECT row_id, b + 4, f0 FROM vox WHERE f0 > 25")
 def voxel_concat_items(spark: SparkSession, sf: str) -> DataFrame:
-    v = voxels(Tables(spark, sf)).where("b < 2").select("row_id", "b", "f0")
-    return V.concat_items([v, v.where("f0 > 25")], [2, 2])
+    v = voxels(Tables(spark, sf)).select("row_id", "b", "f0")
+    return V.concat_items([v, v.where("f0 > 25")], [4, 4])
 
 
 @query("SELECT vec_id AS row_id, round(list_sum(list_concat(embedding, embedding[1:8])::DOUBLE[]), 4) AS total, 72 AS n FROM embeddings")
@@ -154,13 +155,9 @@ def voxel_encode_sdf(spark: SparkSession, sf: str) -> DataFrame:
 @query("""WITH o AS (SELECT l_suppkey % 4 AS b, row_number() OVER (PARTITION BY l_suppkey % 4 ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) - 1 AS ordinal, l_discount > 0.05 AS s FROM lineitem)
 SELECT b, ordinal // 8 AS byte, sum(CASE WHEN s THEN 128 >> (ordinal % 8)::INT ELSE 0 END)::BIGINT AS bits FROM o GROUP BY ALL""")
 def voxel_pack_signs(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    li = Tables(spark, sf).lineitem
-    b = F.col("l_suppkey") % 4
-    o = F.row_number().over(Window.partitionBy(b).orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")) - 1
-    x = li.select(b.alias("b"), o.cast("long").alias("ordinal"), (F.col("l_discount") - 0.05).alias("s"))
-    return V.pack_signs(x, "s")
+    li = Tables(spark, sf).lineitem.withColumn("b", F.col("l_suppkey") % 4)
+    x = sharding.ranks(li, ["b"], [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")], "ordinal")
+    return V.pack_signs(x.select("b", "ordinal", (F.col("l_discount") - 0.05).alias("s")), "s")
 
 
 @query(f"""WITH {PLACES}, k AS (SELECT dx, dy, dz, (dx * 9 + dy * 3 + dz) * 0.25 + 1 AS w FROM range(-1, 2) p(dx), range(-1, 2) q(dy), range(-1, 2) r(dz))
@@ -221,9 +218,9 @@ def voxel_patchify(spark: SparkSession, sf: str) -> DataFrame:
     return both.join(back.select("b", F.col("x").alias("bx"), F.col("y").alias("by_"), F.col("z").alias("bz")), ["b", "bx", "by_", "bz"], "left_semi")
 
 
-@query("SELECT b, x, round(CASE WHEN p > 0 AND x - p * 5 < 3 THEN (x - p * 5 + 0.5) / 3 WHEN p < 2 AND x - p * 5 >= 5 THEN (8 - (x - p * 5) - 0.5) / 3 ELSE 1 END, 6) AS w, p FROM (SELECT l_orderkey AS b, l_linenumber AS x0, l_partkey % 18 AS x, unnest(range(3)) AS p FROM lineitem WHERE l_linenumber = 1) WHERE x >= p * 5 AND x < p * 5 + 8")
+@query("SELECT b, x, round(CASE WHEN p > 0 AND x - p * 5 < 3 THEN (x - p * 5 + 0.5) / 3 WHEN p < 2 AND x - p * 5 >= 5 THEN (8 - (x - p * 5) - 0.5) / 3 ELSE 1 END, 6) AS w, p FROM (SELECT l_orderkey AS b, l_linenumber AS x0, l_partkey % 18 AS x, unnest(range(3)) AS p FROM lineitem) WHERE x >= p * 5 AND x < p * 5 + 8")
 def blend_weights(spark: SparkSession, sf: str) -> DataFrame:
-    li = Tables(spark, sf).lineitem.where("l_linenumber = 1").select(F.col("l_orderkey").alias("b"), (F.col("l_partkey") % 18).alias("x"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("p"))
+    li = Tables(spark, sf).lineitem.select(F.col("l_orderkey").alias("b"), (F.col("l_partkey") % 18).alias("x"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("p"))
     return li.where("x >= p * 5 and x < p * 5 + 8").withColumn("w", F.round(V.blend_weight(F.col("x"), F.col("p"), 8, 5, 3), 6))
 
 
@@ -259,7 +256,7 @@ def serial_z_order(spark: SparkSession, sf: str) -> DataFrame:
     return voxels(Tables(spark, sf)).select("row_id", W.serial_code("z_order", 1, 7).alias("code"))
 
 
-_SERIAL = f"""WITH {VOXELS}, r AS (SELECT b, row_id, row_number() OVER (PARTITION BY b ORDER BY x, y, z, row_id) - 1 AS rank, count(*) OVER (PARTITION BY b) AS n FROM vox WHERE z < 4),
+_SERIAL = f"""WITH {VOXELS}, r AS (SELECT b, row_id, row_number() OVER (PARTITION BY b ORDER BY x, y, z, row_id) - 1 AS rank, count(*) OVER (PARTITION BY b) AS n FROM vox),
 w AS (SELECT DISTINCT b, n, ceil(n / 100)::BIGINT AS k FROM r), s AS (SELECT b, n, k, unnest(range(k)) AS win FROM w),
 p AS (SELECT *, floor((win + 0.5) * (n / k) + 10 - 50)::BIGINT AS begin_, floor(win * (n / k) + 10)::BIGINT AS a, floor((win + 1) * (n / k) + 10)::BIGINT AS z FROM s WHERE k > 1),
 q AS (SELECT *, begin_ + unnest(range(100)) AS place FROM p)
@@ -269,7 +266,7 @@ UNION ALL SELECT b, 0, rank, rank, row_id, true FROM r WHERE n <= 100"""
 
 @query(_SERIAL)
 def serial_windows(spark: SparkSession, sf: str) -> DataFrame:
-    v = voxels(Tables(spark, sf)).where("z < 4")
+    v = voxels(Tables(spark, sf))
     code = F.col("x") * 4096 + F.col("y") * 64 + F.col("z")
     return W.serial_windows(v, code, 100, 10)
 

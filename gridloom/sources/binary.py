@@ -1,5 +1,5 @@
 """Readers of binary assets: GLB headers and JSON chunks, NPZ arrays, tar listings. All are ``binaryFile`` scans whose bytes are
-parsed in Arrow batches; a broken file gives a row with an error, not a failed job."""
+parsed in Arrow batches, which Spark bounds by bytes; a broken file gives a row with an error, not a failed job."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ import io
 import json
 import struct
 import tarfile
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,6 @@ def glb_json(raw: bytes) -> dict:
 
 
 def _files(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # contents are large
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root).select("path", "content")
 
 
@@ -67,46 +67,78 @@ def glb_counts(reports: DataFrame) -> DataFrame:
     return x.select("path", size("j.meshes").alias("num_meshes"), primitives.alias("num_primitives"), size(F.filter("j.nodes", lambda n: n["mesh"].isNotNull())).alias("num_mesh_nodes"))
 
 
+def _arrays(raw: bytes, *names: str) -> list[np.ndarray]:
+    with np.load(io.BytesIO(bytes(raw))) as z:
+        return [z[n] for n in names]
+
+
+#: What a broken file raises; anything else is a mistake of ours and ends the job.
+BROKEN = (ValueError, KeyError, IndexError, OSError, EOFError, zipfile.BadZipFile, tarfile.TarError)
+
+
 def read_mesh_sequences(spark: SparkSession, root: str, glob: str = "*.npz") -> tuple[DataFrame, DataFrame]:
-    """Vertices (path, frame_pos, frame, vid, x, y, z) and faces (path, fid, a, b, c) of NPZ files with vertices [T,V,3], faces [F,3] and frame_indices [T]."""
+    """Vertices (path, frame_pos, frame, vid, x, y, z, error) and faces (path, fid, a, b, c, error) of NPZ files with vertices [T,V,3], faces [F,3] and frame_indices [T].
+
+    A broken file is one row of its path and the error.
+    """
     files = _files(spark, root, glob)
 
-    def vertices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for d in batches:
-            for path, raw in zip(d["path"], d["content"], strict=True):
-                with np.load(io.BytesIO(bytes(raw))) as z:
-                    v, frames = z["vertices"].astype(np.float32), z["frame_indices"]
-                for t in range(len(v)):
-                    yield pd.DataFrame({"path": path, "frame_pos": t, "frame": int(frames[t]), "vid": np.arange(v.shape[1]), "x": v[t, :, 0], "y": v[t, :, 1], "z": v[t, :, 2]})
+    def each(d: pd.DataFrame, parse: Callable[[bytes], Iterator[dict]]) -> Iterator[pd.DataFrame]:
+        for path, raw in zip(d["path"], d["content"], strict=True):
+            try:
+                for part in parse(raw):
+                    yield pd.DataFrame({"path": path, **part, "error": None})
+            except BROKEN as e:
+                yield pd.DataFrame({"path": [path], "error": [f"{type(e).__name__}: {e}"]})
 
-    def faces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for d in batches:
-            for path, raw in zip(d["path"], d["content"], strict=True):
-                with np.load(io.BytesIO(bytes(raw))) as z:
-                    f = z["faces"]
-                yield pd.DataFrame({"path": path, "fid": np.arange(len(f)), "a": f[:, 0], "b": f[:, 1], "c": f[:, 2]})
+    def frames(raw: bytes) -> Iterator[dict]:
+        v, at = _arrays(raw, "vertices", "frame_indices")
+        if v.ndim != 3 or v.shape[2] != 3 or len(at) != len(v):
+            raise ValueError(f"vertices of shape {v.shape} and {len(at)} frames")
+        v = v.astype(np.float32)
+        for t in range(len(v)):
+            yield {"frame_pos": t, "frame": int(at[t]), "vid": np.arange(v.shape[1]), "x": v[t, :, 0], "y": v[t, :, 1], "z": v[t, :, 2]}
 
-    return (
-        files.mapInPandas(vertices, "path string, frame_pos int, frame int, vid int, x float, y float, z float"),
-        files.mapInPandas(faces, "path string, fid int, a int, b int, c int"),
-    )
+    def triangles(raw: bytes) -> Iterator[dict]:
+        (f,) = _arrays(raw, "faces")
+        yield {"fid": np.arange(len(f)), "a": f[:, 0], "b": f[:, 1], "c": f[:, 2]}
 
+    def rows(parse: Callable, names: list[str]) -> Callable:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for d in batches:
+                for made in each(d, parse):
+                    yield made.reindex(columns=names)
 
-def tar_objects(spark: SparkSession, root: str, glob: str = "*.tar") -> DataFrame:
-    """Distinct first two parts of the names of tar members."""
+        return run
+
+    v, f = "path string, frame_pos int, frame int, vid int, x float, y float, z float, error string", "path string, fid int, a int, b int, c int, error string"
+    name = lambda schema: [c.split()[0] for c in schema.split(", ")]
+    return files.mapInPandas(rows(frames, name(v)), v), files.mapInPandas(rows(triangles, name(f)), f)
+
+
+def tar_names(spark: SparkSession, root: str, glob: str = "*.tar") -> DataFrame:
+    """(path, name, error): the members of tar files; a broken file's members up to the damage, then a row with the error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for d in batches:
-            names = []
-            for raw in d["content"]:
-                with tarfile.open(fileobj=io.BytesIO(bytes(raw))) as t:
-                    names += t.getnames()
-            yield pd.DataFrame({"name": names})
+            rows = []
+            for path, raw in zip(d["path"], d["content"], strict=True):
+                try:
+                    with tarfile.open(fileobj=io.BytesIO(bytes(raw))) as t:
+                        rows += [(path, m.name, None) for m in t]
+                except BROKEN as e:
+                    rows.append((path, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["path", "name", "error"])
+
+    return _files(spark, root, glob).mapInPandas(run, "path string, name string, error string")
 
+
+def tar_objects(spark: SparkSession, root: str, glob: str = "*.tar") -> DataFrame:
+    """Distinct first two parts of the names of tar members; what ``tar_names`` could not read gives none."""
     from gridloom.functions.ids import tar_name
 
     parts = F.split(tar_name(F.col("name")), "/")
-    return _files(spark, root, glob).mapInPandas(run, "name string").where(F.size(parts) >= 2).select(F.array_join(F.slice(parts, 1, 2), "/").alias("object")).distinct()
+    return tar_names(spark, root, glob).where(F.size(parts) >= 2).select(F.array_join(F.slice(parts, 1, 2), "/").alias("object")).distinct()
 
 
 def write_sparse_sdf(sdf: DataFrame, signs: DataFrame, path: str) -> None:

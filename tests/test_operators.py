@@ -94,6 +94,40 @@ def test_similarity_fit(spark):
     assert np.allclose(np.array(r["rotation"]).reshape(3, 3), turn)
 
 
+def test_meshes_of_one_point_and_weights_of_zero(spark):
+    v = spark.createDataFrame([(0, 0, 0, 1.0, 2.0, 3.0), (1, 0, 0, 0.0, 0.0, 0.0), (1, 1, 0, 4.0, 2.0, 0.0)], "mesh long, vid long, frame long, x double, y double, z double")
+    for own in (False, True):
+        got = {(r["mesh"], r["vid"]): (r["x"], r["y"], r["z"]) for r in mesh.normalize_sequence(v, per_frame_centre=own).collect()}
+        assert got[0, 0] == (0.0, 0.0, 0.0) and got[1, 1] == pytest.approx((0.95, 0.475, 0.0))
+    rows = spark.createDataFrame([(0, 1, 0.0), (0, 2, 0.0), (1, 1, 0.0), (1, 2, 3.0)], "mesh long, fid long, w double")
+    draws = spark.createDataFrame([(0, 1, 0.5), (1, 1, 0.5)], "mesh long, draw long, u double")
+    assert {r["mesh"]: r["picked"] for r in mesh.sample_by_weight(rows, draws, "w", "fid").collect()} == {0: None, 1: 2}
+
+
+def test_serial_windows_against_all_windows(spark):
+    """Every row in every window that holds its place, by trying all windows."""
+    for n, window, shift in ((1, 4, 0), (4, 4, 3), (5, 4, 0), (37, 5, 2), (101, 10, -7), (23, 3, 40)):
+        v = spark.range(n).select(F.lit(0).cast("long").alias("b"), F.col("id").alias("row_id"), (F.col("id") * 7 % n).alias("c"))
+        got = {(r["window"], r["slot"]): (r["rank"], r["owned"]) for r in windows.serial_windows(v, F.col("c"), window, shift).collect()}
+        k = -(-n // window)
+        want = {}
+        for i in range(k):
+            begin = 0 if k == 1 else math.floor((i + 0.5) * (n / k) + shift - 0.5 * window)
+            for slot in range(n if k == 1 else window):
+                own = k == 1 or math.floor(i * (n / k) + shift) <= begin + slot < math.floor((i + 1) * (n / k) + shift)
+                want[i, slot] = ((begin + slot) % n, own)
+        assert got == want, (n, window, shift)
+
+
+def test_ranks_within_hot_keys(spark):
+    x = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 2).alias("k"), (F.col("id") * 7919 % 3000).alias("v"))
+    rows = sharding.ranks(x, ["k"], [F.col("v")]).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["k"], []).append((r["v"], r["rank"]))
+    assert len(rows) == 3000 and all([k for _, k in sorted(g)] == list(range(len(g))) for g in by.values())
+
+
 def test_keep_and_null_keys(spark):
     x = spark.createDataFrame([(1, "a", 0), (1, "b", 1), (2, "c", 2)], "k int, v string, s int")
     assert sorted((r["k"], r["v"]) for r in curation.keep_last(x, ["k"], "s").collect()) == [(1, "b"), (2, "c")]
@@ -114,8 +148,15 @@ def test_files(spark, tmp_path):
     np.savez(tmp_path / "s.npz", vertices=np.arange(12).reshape(2, 2, 3).astype(np.float16), faces=np.array([[0, 1, 1]], np.int32), frame_indices=np.array([4, 6], np.int32))
     v, f = binary.read_mesh_sequences(spark, str(tmp_path))
     assert sorted({r["frame"] for r in v.collect()}) == [4, 6] and f.count() == 1
+    (tmp_path / "broken.npz").write_bytes(b"PK nonsense")
+    np.savez(tmp_path / "other.npz", vertices=np.zeros((2, 2)))
+    v, f = binary.read_mesh_sequences(spark, str(tmp_path))
+    assert sorted({r["frame"] for r in v.where("error is null").collect()}) == [4, 6] and f.where("error is null").count() == 1
+    assert v.where("error is not null").count() == 2 == f.where("error is not null").count()
     with tarfile.open(tmp_path / "t.tar", "w") as t:
         t.add(tmp_path / "s.npz", "./x/y/s.npz")
+    (tmp_path / "cut.tar").write_bytes(b"no archive")
+    assert binary.tar_names(spark, str(tmp_path)).where("error is not null").count() == 1
     assert [r["object"] for r in binary.tar_objects(spark, str(tmp_path)).collect()] == ["x/y"]
     (tmp_path / "m.json").write_text(json.dumps([{"a": 1, "n": {"b": 2}}]))
     assert tables.load_table(spark, str(tmp_path / "m.json")).columns == ["a", "n.b"]
@@ -156,8 +197,8 @@ def lines(spark, tmp_path_factory):
     names = "l_orderkey l_linenumber l_partkey l_suppkey l_quantity l_extendedprice l_discount".split()
     rng = np.random.default_rng(7)
     rows = [(int(o), n, int(rng.integers(0, 60)), int(rng.integers(0, 60)), float(rng.integers(1, 50)), 1.5, 0.25) for o in range(60) for n in range(1, 8)]
-    # two faces that share an edge with a third only, which is line 5 of its order
-    rows += [(70, 1, 71, 75, 1.0, 1.0, 0.0), (70, 5, 71, 80, 1.0, 1.0, 0.0), (73, 2, 71, 80, 1.0, 1.0, 0.0)]
+    # two faces that share an edge with a third only, which is of another order
+    rows += [(70, 1, 71, 80, 1.0, 1.0, 0.0), (70, 5, 71, 80, 1.0, 1.0, 0.0), (73, 5, 71, 80, 1.0, 1.0, 0.0)]
     to = str(tmp_path_factory.mktemp("lines"))
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double").write.parquet(f"{to}/lineitem.parquet")
     return to, [dict(zip(names, r, strict=True)) for r in rows]
@@ -174,7 +215,7 @@ def test_whole_components_brute_force(spark, lines):
 
     for x in rows:
         fid = ((x["l_orderkey"] * 10 + x["l_linenumber"]) * 100000 + x["l_partkey"]) * 10000 + x["l_suppkey"]
-        mesh, (a, b, c) = x["l_suppkey"] % 5, (x[k] % 97 for k in ("l_orderkey", "l_partkey", "l_suppkey"))
+        mesh, (a, b, c) = x["l_suppkey"], (x["l_orderkey"] % 97, x["l_partkey"] % 97, (x["l_orderkey"] // 97 + x["l_linenumber"] * 13) % 97)
         me = (mesh, fid)
         up[me] = me
         for p, q in ((a, b), (b, c), (c, a)):
@@ -182,6 +223,6 @@ def test_whole_components_brute_force(spark, lines):
             mine = top(me)
             up[max(mine, other)] = min(mine, other)
     want = sorted((m, f, top((m, f))[1]) for m, f in up)
-    got = sorted((r["mesh"], r["fid"], r["component"]) for r in entry.queries()["mesh_components_whole"](spark, to).collect())
+    got = sorted((r["mesh"], r["fid"], r["component"]) for r in entry.queries()["mesh_components"](spark, to).collect())
     assert got == want and len(got) == len(rows)
     assert len({w[::2] for w in want if w[1] > 70 * 10**10}) == 1
