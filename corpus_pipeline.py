@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm import packing, secrets, simhash, substring, toxicity
-from gridloom.llm.common import table
+from gridloom.llm.common import shared_folder, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,11 +61,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents; each one's rows are written to the shared folder and read again."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    top = f"{shared.rstrip('/')}/corpus_pipeline/{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    """The stages over documents; each one's rows are written to the shared folder and read again.
+
+    A stage's folder goes when the next one is written; the last one's stays, as the result is read from it.
+    """
+    top = f"{shared_folder(spark).rstrip('/')}/corpus_pipeline/{uuid.uuid4().hex}"
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{top}/{k}_{name}")
-        docs = spark.read.parquet(f"{top}/{k}_{name}")
+        here = f"{top}/{k}_{name}"
+        stage(spark, docs, sf_dir).write.parquet(here)
+        docs = spark.read.parquet(here)
+        if before:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(before)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        before = here
     return docs

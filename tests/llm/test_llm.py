@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gridloom.llm import bpe, chat, components, forest, licenses, packing, queries, secrets, simhash, substring, syncmers, toxicity
+from gridloom.llm import bpe, chat, forest, licenses, packing, queries, secrets, simhash, substring, syncmers, toxicity
+from gridloom.operators import components
 
 SF = "/root/testdata/sf0.001"
 RANKS, PATTERN, JSON = P.path("byte_bpe_50k.tiktoken"), P.PATTERN, P.path("byte_bpe_50k.json")
@@ -837,4 +838,8 @@ def test_pipeline_stages(spark, odd):
         assert stage(spark, docs.limit(0), SF).count() == 0
         docs = spark.createDataFrame(out.toPandas(), docs.schema)
     assert set(docs.toPandas().doc_id) <= set(before.index) and docs.count() > 0.6 * len(before)
+    kept = docs.toPandas().set_index("doc_id")
+    assert not any(base_spans(t) for t in kept.text if t)
+    whole = corpus_pipeline.run(spark, SF)
+    assert {r["doc_id"] for r in whole.select("doc_id").distinct().collect()} == set(kept.index)
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= docs.count()
