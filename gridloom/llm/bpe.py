@@ -147,7 +147,11 @@ def decode_stream(parts: Iterable[Iterable[int]], table: list[bytes]) -> Iterato
 
 def offsets(text: str, ids: Iterable[int], table: list[bytes]) -> np.ndarray:
     """(n, 2) code point offsets: from the character that holds a token's first byte to the end of the one that holds its last."""
-    sizes = np.fromiter((len(table[i]) for i in ids), np.int64)
+    return spans(text, np.fromiter((len(table[i]) for i in ids), np.int64))
+
+
+def spans(text: str, sizes: np.ndarray) -> np.ndarray:
+    """The offsets of tokens of so many bytes each."""
     raw = np.frombuffer(text.encode(), np.uint8)
     if not len(raw):
         return np.zeros((0, 2), np.int64)

@@ -75,13 +75,13 @@ def covered(on: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tu
 
 
 @functools.lru_cache(maxsize=4)
-def tokenizer(path: str, pattern: str) -> tuple[bpe.Encoder, list[bytes]]:
-    """An encoder that knows the marks, and the bytes of each id."""
+def tokenizer(path: str, pattern: str) -> tuple[bpe.Encoder, np.ndarray]:
+    """An encoder that knows the marks, and the number of bytes of each id."""
     ranks = bpe.read_ranks(path)
     made = bpe.tokenizer_of_ranks(ranks, pattern)
     made.add_special_tokens([AddedToken(m, special=True, normalized=False) for m in MARKS])
     table = bpe.byte_table(ranks | {m.encode(): made.token_to_id(m) for m in MARKS})
-    return bpe.Encoder(made), table
+    return bpe.Encoder(made), np.array([len(b) for b in table], np.int64)
 
 
 class _Open:
@@ -97,10 +97,10 @@ class _Open:
         self.turns.append((role, text))
         self.size += len(text) + len(role)
 
-    def write(self, encoder: bpe.Encoder, table: list[bytes], assistant: str, last: bool) -> dict:
+    def write(self, encoder: bpe.Encoder, sizes: np.ndarray, assistant: str, last: bool) -> dict:
         formatted = render(self.turns)
         ids = np.frombuffer(encoder.encode([formatted])[0], "<u4").astype(np.int32)
-        places = bpe.offsets(formatted, ids.tolist(), table)
+        places = bpe.spans(formatted, sizes[ids])
         spans = []
         for role, text, a, b in read_back(formatted):
             self.n += 1
@@ -126,8 +126,8 @@ _KINDS = [
 
 
 def _format(path: str, pattern: str, assistant: str, most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    encoder, table = tokenizer(path, pattern)
-    write = functools.partial(_Open.write, encoder=encoder, table=table, assistant=assistant)
+    encoder, sizes = tokenizer(path, pattern)
+    write = functools.partial(_Open.write, encoder=encoder, sizes=sizes, assistant=assistant)
     rows: list[dict] = []
     size, now = 0, None
 
