@@ -28,6 +28,8 @@ from gridloom.llm.common import slices, with_fields
 
 _BESIDE = re.compile(r" \s|\s ")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
+#: Letters, then ASCII that is neither a letter nor an apostrophe: a run of letters is a token of the pattern and ends there.
+_LETTERS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)(?:([\n!-&(-@\[-`{-~].*))?", re.DOTALL)
 
 
 def byte_characters() -> dict[int, str]:
@@ -72,6 +74,9 @@ class Encoder:
         self.tokenizer, self.most = tokenizer, memo
         self.young: dict[str, bytes] = {}  # of chunks that follow a space, without it
         self.old: dict[str, bytes] = {}
+        self.ends: dict[str, bytes] = {}  # of what follows a run of letters, up to the next space
+        # a special token that begins like a word could reach over the end of its letters
+        self.apart = not any(_LETTERS.match(t.content.lstrip()) for t in tokenizer.get_added_tokens_decoder().values())
         newline = tokenizer.encode("\n", add_special_tokens=False).ids
         self.mark = newline[0] if len(newline) == 1 else None
 
@@ -80,8 +85,41 @@ class Encoder:
             yield array("I", e.ids).tobytes()
 
     def _learn(self, words: list[str]) -> None:
+        """Ids of " " + word. A run of letters and what follows it are encoded, and remembered, apart."""
+        ends, split = self.ends, []
+        fresh: dict[str, None] = {}
+        for w in words:
+            m = _LETTERS.fullmatch(w) if self.apart else None
+            if m is None:
+                fresh[w] = None
+                continue
+            base, end = m.groups()
+            if base not in self.young:
+                got = self.old.get(base)
+                if got is None:
+                    fresh[base] = None
+                else:
+                    self.young[base] = got
+            if end is not None:
+                split.append((w, base, end))
+        self._lines(list(fresh))
+        more = list({end for _, _, end in split if end not in ends})
+        ends.update(zip(more, self._each(more), strict=True))
+        for w, base, end in split:
+            self.young[w] = self.young[base] + ends[end]
+        for end in more:
+            if len(end) > 200:  # not worth its memory
+                del ends[end]
+        if len(ends) > self.most // 10:
+            ends.clear()
+        asked = set(words)
+        for w in fresh:
+            if len(w) > 200 and w not in asked:
+                del self.young[w]
+
+    def _lines(self, words: list[str]) -> None:
         """Ids of " " + word. Words without a line end are encoded as lines: a line end between them is one token of its own."""
-        plain = [w for w in words if self.mark is not None and w and "\n" not in w and not w[-1].isspace() and not w[0].isspace()]
+        plain = [w for w in words if self.mark is not None and "\n" not in w and not _edged(w)]
         for i in range(0, len(plain), 512):
             part = plain[i : i + 512]
             ids = np.array(self.tokenizer.encode_batch_fast([" " + "\n ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -100,16 +138,22 @@ class Encoder:
         if len(self.young) > self.most:
             self.old, self.young = self.young, {}
         get, old = self.young.get, self.old.get
-        heads, parts, out, want, late = [], [], [], set(), []
-        for k, t in enumerate(texts):
-            head, *tail = _SAFE.split(t) if _BESIDE.search(t) else t.split(" ")
+        heads, found, want, late = [], [], set(), []
+        for t in texts:
+            # What is remembered has no white space at its edges, so only chunks not found can show that this is no safe split
+            head, *tail = t.split(" ")
             got = list(map(get, tail))
-            if None in got:
-                want.update([w for w, g in zip(tail, got, strict=True) if g is None])
-                late.append(k)
+            miss = [i for i, g in enumerate(got) if g is None]
+            if (head[-1:].isspace() or any(_edged(tail[i]) for i in miss)) and _BESIDE.search(t):
+                head, *tail = _SAFE.split(t)
+                got = list(map(get, tail))
+                miss = [i for i, g in enumerate(got) if g is None]
+            if miss:
+                miss = [(i, tail[i]) for i in miss]
+                want.update([w for _, w in miss])
+                late.append((got, miss))
             heads.append(head)
-            parts.append(tail)
-            out.append(None if None in got else b"".join(got))
+            found.append(got)
         new = []
         for w in want:
             if (g := old(w)) is None:
@@ -117,14 +161,21 @@ class Encoder:
             else:
                 self.young[w] = g
         self._learn(new)
-        for k in late:
-            out[k] = b"".join(map(self.young.__getitem__, parts[k]))
+        for got, miss in late:
+            for i, w in miss:
+                got[i] = self.young[w]
+        out = map(b"".join, found)
         for w in new:
-            if len(w) > 200:  # not worth its memory
+            if len(w) > 200 or _edged(w):  # not worth its memory, or for the end of a text only
                 del self.young[w]
         return [a + b for a, b in zip(self._each(heads), out, strict=True)]
 
 
+def _edged(w: str) -> bool:
+    """Empty, or with white space at an edge."""
+    return not w or len(w.strip()) != len(w)
+
+
 def byte_table(ranks: dict[bytes, int]) -> list[bytes]:
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for t, i in ranks.items():
