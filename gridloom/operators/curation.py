@@ -151,8 +151,9 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 
 
 def seed_manifest(items: DataFrame, known: DataFrame, seed: Column, key: str = "path") -> DataFrame:
-    """Known seeds stay, new items get theirs from ``seed``."""
-    return items.join(known.select(key, F.col("seed").alias("__old")), key, "left").select(key, F.coalesce("__old", seed).alias("seed"))
+    """Items with ``seed``: known seeds stay (the least of a key's), new items get theirs from ``seed``. One row for each item, whatever keys repeat."""
+    old = known.groupBy(key).agg(F.min("seed").alias("__old"))
+    return items.join(old, key, "left").select(*[c for c in items.columns if c != "seed"], F.coalesce("__old", seed).alias("seed"))
 
 
 def jobs(assets: DataFrame, trajectories: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import math
 import struct
 import tarfile
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -226,3 +227,15 @@ def test_whole_components_brute_force(spark, lines):
     got = sorted((r["mesh"], r["fid"], r["component"]) for r in entry.queries()["mesh_components"](spark, to).collect())
     assert got == want and len(got) == len(rows)
     assert len({w[::2] for w in want if w[1] > 70 * 10**10}) == 1
+
+
+def test_seeds_of_repeated_paths(spark, tmp_path):
+    pages = [(0, "a"), (1, "a"), (2, "a"), (3, "b"), (6, "b"), (7, "c")]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.sql(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    got = sorted(tuple(r) for r in entry.queries()["seeds_manifest"](spark, str(tmp_path)).collect())
+    assert got == sorted(con.sql(entry.oracle_sql()["seeds_manifest"]).fetchall()) and len(got) == 6
+    known = spark.createDataFrame([("a", 5), ("a", 4)], "path string, seed long")
+    items = spark.createDataFrame([("a",), ("a",), ("b",)], "path string")
+    assert sorted(tuple(r) for r in curation.seed_manifest(items, known, F.lit(9).cast("long")).collect()) == [("a", 4), ("a", 4), ("b", 9)]
